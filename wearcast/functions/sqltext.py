@@ -1,0 +1,101 @@
+"""Small SQL-text expression values for generated kernels.
+
+Building thousands of ``Column`` nodes costs one py4j round trip each; the
+kernels instead compose SQL text and hand each finished output column to
+``F.expr`` once. The same text, rendered for DuckDB, is the oracle of the
+window plumbing (``dialect='duckdb'`` swaps ``try_divide``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+class X:
+    __slots__ = ("s",)
+
+    def __init__(self, s: str):
+        self.s = s
+
+    @staticmethod
+    def of(v) -> "X":
+        if isinstance(v, X):
+            return v
+        if isinstance(v, bool):
+            return X("TRUE" if v else "FALSE")
+        if isinstance(v, (int, float)):
+            return X(f"CAST({float(v)!r} AS DOUBLE)" if v < 0 else f"CAST({float(v)!r} AS DOUBLE)")
+        return X(str(v))
+
+    def _bin(self, op, other, rev=False):
+        a, b = (X.of(other), self) if rev else (self, X.of(other))
+        return X(f"({a.s} {op} {b.s})")
+
+    def __add__(self, o): return self._bin("+", o)
+    def __radd__(self, o): return self._bin("+", o, True)
+    def __sub__(self, o): return self._bin("-", o)
+    def __rsub__(self, o): return self._bin("-", o, True)
+    def __mul__(self, o): return self._bin("*", o)
+    def __rmul__(self, o): return self._bin("*", o, True)
+    def __truediv__(self, o): return self._bin("/", o)
+    def __rtruediv__(self, o): return self._bin("/", o, True)
+    def __neg__(self): return X(f"(-{self.s})")
+    def __lt__(self, o): return self._bin("<", o)
+    def __le__(self, o): return self._bin("<=", o)
+    def __gt__(self, o): return self._bin(">", o)
+    def __ge__(self, o): return self._bin(">=", o)
+    def eq(self, o): return self._bin("=", o)
+
+    def col(self) -> Column:
+        return F.expr(self.s)
+
+
+DIALECT = {"name": "spark"}
+
+
+def col(name: str) -> X:
+    return X(f"`{name}`" if DIALECT["name"] == "spark" else f'"{name}"')
+
+
+def lit(v) -> X:
+    return X.of(v)
+
+
+NULL = X("CAST(NULL AS DOUBLE)")
+
+
+def fn(name: str, *args) -> X:
+    return X(f"{name}({', '.join(X.of(a).s for a in args)})")
+
+
+def sqrt(a): return fn("sqrt", a)
+def absv(a): return fn("abs", a)
+def greatest(*a): return fn("greatest", *a)
+def least(*a): return fn("least", *a)
+def coalesce(*a): return fn("coalesce", *a)
+def pw(a, e): return fn("power", a, e)
+
+
+def try_div(a, b) -> X:
+    if DIALECT["name"] == "spark":
+        return fn("try_divide", a, b)
+    a, b = X.of(a), X.of(b)
+    return X(f"(CASE WHEN {b.s} = 0 THEN NULL ELSE {a.s} / {b.s} END)")
+
+
+def when(cond: X, then, otherwise=None) -> X:
+    o = NULL if otherwise is None else X.of(otherwise)
+    return X(f"(CASE WHEN {cond.s} THEN {X.of(then).s} ELSE {o.s} END)")
+
+
+def first_match(conds_values: list[tuple[X, X]]) -> X:
+    body = " ".join(f"WHEN {c.s} THEN {X.of(v).s}" for c, v in conds_values)
+    return X(f"(CASE {body} ELSE NULL END)")
+
+
+def total(xs) -> X:
+    xs = list(xs)
+    if not xs:
+        return lit(0.0)
+    return X("(" + " + ".join(X.of(x).s for x in xs) + ")")

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..schema import CYCLE, UNIT
+from ..session import default_parallelism
 from .sequence import number_rows
 
 DEFAULT_BLOCK_ROWS = 10_000
@@ -35,12 +36,15 @@ def dense_index(df: DataFrame, unit: str = UNIT, cycle: str = CYCLE, out: str =
     return number_rows(df, [unit], [cycle], out=out, strategy=strategy)
 
 
-def rolling(df: DataFrame, width: int, exprs: Callable[[WindowSpec], dict[str, Column]],
+def rolling(df: DataFrame, width: int, exprs: Callable[..., dict[str, Column]],
             unit: str = UNIT, index: str = "_idx", direction: int = 1,
-            block_rows: int = DEFAULT_BLOCK_ROWS, keep_partial: bool = False) -> DataFrame:
+            block_rows: int = DEFAULT_BLOCK_ROWS, keep_partial: bool = False,
+            num_partitions: int | None = None) -> DataFrame:
     """Apply window expressions over each ``width``-row frame.
 
-    ``exprs(w)`` returns ``{name: column expression over w}``. Only rows with
+    ``exprs(w)`` returns ``{name: column expression over w}``; a callback
+    taking two arguments also gets the unframed ordered spec (for ``lag``).
+    Only rows with
     a full frame are kept (``keep_partial`` keeps all). ``direction=1``
     frames look back (key = last row); ``-1`` frames look ahead (key = first
     row).
@@ -63,9 +67,12 @@ def rolling(df: DataFrame, width: int, exprs: Callable[[WindowSpec], dict[str, C
                            .where(pos < F.lit(halo_n))
                            .withColumn("_blk", F.col("_blk") - 1))
         base = base.unionByName(halo_rows.withColumn("_halo", F.lit(True)))
-    w = Window.partitionBy(unit, "_blk").orderBy(index)
-    w = w.rowsBetween(-halo_n, 0) if direction >= 0 else w.rowsBetween(0, halo_n)
-    cols = exprs(w)
+    # Explicit (unit, block) distribution: an upstream hash(unit) layout would
+    # otherwise satisfy the window and keep a hot unit in one task.
+    base = base.repartition(num_partitions or default_parallelism(df.sparkSession), unit, "_blk")
+    ordered = Window.partitionBy(unit, "_blk").orderBy(index)
+    w = ordered.rowsBetween(-halo_n, 0) if direction >= 0 else ordered.rowsBetween(0, halo_n)
+    cols = exprs(w, ordered) if exprs.__code__.co_argcount >= 2 else exprs(w)
     out = base.select("*", F.count(F.lit(1)).over(w).alias("_frame_n"),
                       *[c.alias(n) for n, c in cols.items()])
     out = out.where(~F.col("_halo"))

@@ -31,6 +31,9 @@ def get_session(master: str | None = None, app: str = "wearcast",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # Local mode: the driver JVM is the only executor.
+            builder = builder.config("spark.driver.memory", conf.pop("driver_memory", "16g"))
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
