@@ -86,3 +86,33 @@ def number_rows(df: DataFrame, by: list[str], order: list[str], out: str = "_idx
     numbered = tagged.join(offsets, on=["_pid", *by], how="inner")
     idx: Column = (F.col("_off") + (F.col("_pos") - F.col("_first")) + F.lit(1)).cast("long")
     return numbered.withColumn(out, idx).drop("_pid", "_pos", "_first", "_off")
+
+
+def cumulative_sum(df: DataFrame, by: list[str], order: list[str], cols: list[str],
+                   strategy: str = "auto", num_partitions: int | None = None,
+                   max_group_rows: int = MAX_GROUP_ROWS, suffix: str = "_cum") -> DataFrame:
+    """Running sums of ``cols`` per group of ``by`` in ``order`` (inclusive).
+
+    Same two strategies as ``number_rows``: the plain window when the largest
+    group is proven small, otherwise range partitions with per-partition
+    totals and offsets, so a hot group is summed by many tasks. ``order``
+    must be unique within a group (aggregate first).
+    """
+    if strategy == "auto":
+        strategy = "window" if largest_group(df, by) <= max_group_rows else "range"
+    if strategy == "window":
+        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select("*", *[F.sum(c).over(w).alias(c + suffix) for c in cols])
+    n = num_partitions or default_parallelism(df.sparkSession)
+    keys = list(by) + list(order)
+    tagged = cut_lineage(df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id()))
+    local_w = (Window.partitionBy("_pid", *by).orderBy(*order)
+               .rowsBetween(Window.unboundedPreceding, 0))
+    local = tagged.select("*", *[F.sum(c).over(local_w).alias(c + "_loc") for c in cols])
+    totals = tagged.groupBy("_pid", *by).agg(*[F.sum(c).alias(c + "_tot") for c in cols])
+    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", *by, *[F.coalesce(F.sum(c + "_tot").over(before), F.lit(0))
+                                           .alias(c + "_off") for c in cols])
+    out = local.join(offsets, on=["_pid", *by], how="inner")
+    return out.select(*df.columns, *[(F.col(c + "_loc") + F.col(c + "_off")).alias(c + suffix)
+                                     for c in cols])

@@ -31,11 +31,17 @@ LINEITEM_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_qu
                   "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
-def events_telemetry(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
-    """Adapter A: one user = one machine; value, hour and a constant sensor."""
-    ev = read_table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
+def events_telemetry(spark: SparkSession, sf_dir: str, strategy: str = "auto",
+                     keep: tuple[str, ...] = ()) -> DataFrame:
+    """Adapter A: one user = one machine; value, hour and a constant sensor.
+
+    ``keep`` carries source columns along (e.g. ``ts``, ``event_id``).
+    """
+    ev = read_table(spark, sf_dir, "events").select(
+        *dict.fromkeys(["user_id", "ts", "event_id", "value", *keep]))
     ev = number_rows(ev, ["user_id"], ["ts", "event_id"], out=CYCLE, strategy=strategy)
     return ev.select(
+        *keep,
         F.col("user_id").cast("long").alias(UNIT),
         F.col(CYCLE).cast("long").alias(CYCLE),
         F.dayofmonth("ts").cast("double").alias("op_setting_1"),
