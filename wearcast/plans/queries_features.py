@@ -17,8 +17,15 @@ SENS = ["sensor_1", "sensor_2", "sensor_3"]
 SQL_CALC = {k: v for k, v in LONG_CALCULATORS.items() if k != "augmented_dickey_fuller"}
 
 
-def _round_all(df, digits: int = 6):
-    return df.select(*[F.round(F.col(f.name), digits).alias(f.name) if f.dataType.typeName() == "double"
+def _fround(c, digits: int = 6):
+    """Same binary rounding in both engines (Spark's round is decimal HALF_UP)."""
+    k = float(10 ** digits)
+    return (F.floor(c * k + 0.5) / k).cast("double")
+
+
+def _round_all(df, digits: int = 6, binary: bool = False):
+    r = (lambda c: _fround(c, digits)) if binary else (lambda c: F.round(c, digits))
+    return df.select(*[r(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "double"
                        else F.col(f.name) for f in df.schema.fields])
 
 
@@ -37,7 +44,7 @@ def _kernel_sql(width: int, calc: dict) -> str:
         for s in SENS:
             xs = [sx.col(f"_{s}__x{k}") for k in range(width)]
             for name, c in kernel_columns(s, Frame(xs), calc).items():
-                outs.append(f"round({c.s}, 4) AS {_q(name)}")
+                outs.append(f"CAST(floor(({c.s}) * 1e6 + 0.5) / 1e6 AS DOUBLE) AS {_q(name)}")
     finally:
         sx.DIALECT["name"] = "spark"
     return f"""WITH {TEL_EVENTS},
@@ -51,8 +58,7 @@ SELECT unit_id, time_cycles, {", ".join(outs)} FROM fr WHERE n = {width}"""
 @query("window_kernels_long", sql=_kernel_sql(20, SQL_CALC))
 def q_kernels(spark, sf):
     reb = rebase(events_telemetry(spark, sf), SENS)
-    # 4 places: sums of cubes reach 1e4, so 6 places sit at the last bits.
-    return _round_all(extract_features(reb, SENS, 20, SQL_CALC), 4)
+    return _round_all(extract_features(reb, SENS, 20, SQL_CALC), 6, binary=True)
 
 
 @query("window_mean_short", sql=f"""WITH {TEL_EVENTS}, {rebased(SENS)}
