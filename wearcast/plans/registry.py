@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None):
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from . import queries_core, queries_drift, queries_features  # noqa: F401
+    from . import queries_core, queries_drift, queries_eval, queries_features  # noqa: F401
 
 
 def queries() -> dict[str, Builder]:
