@@ -67,7 +67,7 @@ def bin_index(value, lo, hi, bins: int = PSI_BINS):
     Last bin closed; values outside the range get null. Edges are
     ``lo + k * (hi - lo) / bins``, and the index is corrected against them.
     """
-    v, lo, hi = F.col(value) if isinstance(value, str) else value, F.col(lo), F.col(hi)
+    v, lo, hi = [F.col(c) if isinstance(c, str) else c for c in (value, lo, hi)]
     step = (hi - lo) / bins
     raw = F.floor((v - lo) * (F.lit(float(bins)) / (hi - lo))).cast("int")
     raw = F.least(raw, F.lit(bins - 1))
