@@ -26,7 +26,8 @@ def query(name: str, sql: str | None = None):
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from . import queries_core, queries_drift, queries_eval, queries_features, queries_select  # noqa: F401
+    from . import (queries_core, queries_drift, queries_eval, queries_features,  # noqa: F401
+                   queries_relevance, queries_select)
 
 
 def queries() -> dict[str, Builder]:
