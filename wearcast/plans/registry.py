@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None):
 def _load_all() -> None:
     # Importing the modules registers their queries.
     from . import (queries_core, queries_drift, queries_eval, queries_features,  # noqa: F401
-                   queries_ml, queries_relevance, queries_select, queries_stream,
+                   queries_ml, queries_quality, queries_relevance, queries_select, queries_stream,
                    queries_upload)
 
 
