@@ -39,8 +39,9 @@ def q_cv(spark, sf):
     return T.cv_table(spark, res["best"])
 
 
-@query("trials_forest_grid")
-def q_trials(spark, sf):
+def trials_forest_grid(spark, sf):
+    """The forest half of the trial grid (K9). Not registered: 16 CV fits with
+    depth-30 forests take ~25 min on local[8]; run it through ``train.tune``."""
     feats = _fitted(spark, sf)[4]
     data, inputs = T.training_set(feats)
     res = T.tune(spark, T.with_folds(data), inputs, T.trial_configs()[4:], parallelism=2)
