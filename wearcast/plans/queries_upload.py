@@ -56,3 +56,25 @@ def q_upload(spark, sf):
                               F.col("l_tax").cast("string"), F.lit(" "), F.col("l_returnflag"),
                               F.lit(" ")).alias("value"))
     return fill_medians(conform(parse_whitespace_lines(text)))
+
+
+@query("csv_stage_table", sql="""WITH tel AS (
+  SELECT CAST(l_suppkey AS BIGINT) AS unit_id,
+         CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey,
+              l_linenumber, l_partkey, l_quantity, l_extendedprice, l_discount, l_tax,
+              l_returnflag, l_linestatus) AS BIGINT) AS time_cycles,
+         CAST(l_quantity AS DOUBLE) AS sensor_1, CAST(l_extendedprice AS DOUBLE) AS sensor_2,
+         CAST(l_discount AS DOUBLE) AS sensor_3, CAST(l_tax AS DOUBLE) AS sensor_4
+  FROM lineitem)
+SELECT * FROM tel""")
+def q_csv(spark, sf):
+    """K1 + S2: the telemetry stage table written as CSV and read back with a fixed schema."""
+    import uuid
+    from ..schema import telemetry_schema
+    from ..session import shared_path
+    from ..sinks.tables import write_table
+    from ..sources.files import read_csv_table
+    from ..sources.telemetry import lineitem_telemetry
+    tel = lineitem_telemetry(spark, sf)
+    path = write_table(tel, shared_path(spark, f"csv-{uuid.uuid4().hex[:8]}"), fmt="csv")
+    return read_csv_table(spark, path, schema=telemetry_schema(tel.columns))
