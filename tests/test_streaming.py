@@ -1,6 +1,5 @@
 """ST1 equals the batch re-based short-window means; late rows are dropped."""
 
-import os
 import uuid
 
 import pytest

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import sqltext as sx
-from ..functions.kernels import LONG_CALCULATORS, Frame, expand, feature_name, kernel_columns
+from ..functions.kernels import LONG_CALCULATORS, Frame, kernel_columns
 from ..operators.features import extract_features, join_feature_sets, short_features
 from ..operators.rebase import rebase
 from ..sources.telemetry import events_telemetry

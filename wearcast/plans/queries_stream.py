@@ -4,7 +4,6 @@ the events stream against the reference profile of the first half."""
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import functions as F
