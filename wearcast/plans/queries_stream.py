@@ -29,7 +29,7 @@ def q_st1(spark, sf):
     last = tel.agg(F.max("time_cycles")).first()[0]
     for p in range(0, (last + 24) // 25):
         tel.where(F.floor((F.col("time_cycles") - 1) / 25) == p).withColumn("_part", F.lit(p)) \
-           .write.mode("append").partitionBy("_part").parquet(src)
+           .coalesce(1).write.mode("append").partitionBy("_part").parquet(src)
     stream = spark.readStream.schema(tel.schema).option("maxFilesPerTrigger", 1).parquet(src)
     name = f"st1_{tag}"
     run_to_table(stream_unit_features(stream, SENS), name, shared_path(spark, f"st1-ckpt-{tag}"))

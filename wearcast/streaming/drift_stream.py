@@ -24,7 +24,7 @@ def replay_events(spark: SparkSession, sf_dir: str, folder: str) -> str:
     ev = ev.persist()
     days = sorted(r["_day"] for r in ev.select("_day").distinct().collect())
     for d in days:  # appended in day order: the file source replays by modification time
-        ev.where(F.col("_day") == F.lit(d)).write.mode("append").partitionBy("_day").parquet(folder)
+        ev.where(F.col("_day") == F.lit(d)).coalesce(1).write.mode("append").partitionBy("_day").parquet(folder)
     ev.unpersist()
     return folder
 
