@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from .packing import op2_best_fit_packing
 from .quality_rules import op1_quality_rules
+from .token_files import op6_token_output
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules,)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op6_token_output)}
 ORACLE_SQL: dict[str, str] = {}
