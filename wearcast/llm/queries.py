@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontamination import OP4_SQL, op4_decontamination
+from .jaccard_join import op3_ngram_jaccard
 from .language_id import op7_language_id
 from .packing import op2_best_fit_packing
 from .pii import op5_pii
@@ -11,5 +12,5 @@ from .quality_rules import op1_quality_rules
 from .token_files import op6_token_output
 from .warc import op9_warc
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op4_decontamination, op5_pii, op6_token_output, op7_language_id, op9_warc, op10_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op3_ngram_jaccard, op4_decontamination, op5_pii, op6_token_output, op7_language_id, op9_warc, op10_quality_classifier)}
 ORACLE_SQL: dict[str, str] = {"op4_decontamination": OP4_SQL}
