@@ -10,7 +10,8 @@ from .pii import op5_pii
 from .quality_classifier import op10_quality_classifier
 from .quality_rules import op1_quality_rules
 from .token_files import op6_token_output
+from .url_filters import op8_url_filters
 from .warc import op9_warc
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op3_ngram_jaccard, op4_decontamination, op5_pii, op6_token_output, op7_language_id, op9_warc, op10_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op3_ngram_jaccard, op4_decontamination, op5_pii, op6_token_output, op7_language_id, op8_url_filters, op9_warc, op10_quality_classifier)}
 ORACLE_SQL: dict[str, str] = {"op4_decontamination": OP4_SQL}
