@@ -55,6 +55,26 @@ def fold(n: int, col: str = "doc_id") -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % n
 
 
+#: Decisions up to this many rows (16 bytes a row) are broadcast; more of them are joined by a shuffle.
+BROADCAST_DECISIONS = 1_000_000
+
+
+def by_row(docs: DataFrame, decisions: DataFrame, how: str) -> DataFrame:
+    """Join ``docs`` with ``decisions`` (doc_id, text_key, ...) row by row, nulls equal to nulls.
+
+    Decisions are functions of the id and the text, so equal rows share theirs. Key columns
+    get names that no input has; the documents' own columns are left alone.
+    """
+    tag = uuid.uuid4().hex
+    i, k, left = f"id_{tag}", f"key_{tag}", f"left_{tag}"
+    small = decisions.dropDuplicates(["doc_id", "text_key"]).withColumnsRenamed({"doc_id": i, "text_key": k})
+    if small.count() <= BROADCAST_DECISIONS:
+        small = F.broadcast(small)
+    keyed = docs.withColumn(left, text_key())
+    on = keyed["doc_id"].eqNullSafe(small[i]) & (keyed[left] == small[k])
+    return keyed.join(small, on, how).drop(i, k, left)
+
+
 # ---------------------------------------------------------------- byte tables
 
 def byte_table(pattern: str) -> np.ndarray:

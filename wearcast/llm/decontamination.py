@@ -57,15 +57,16 @@ def item_words(items: DataFrame) -> DataFrame:
 
 
 def build_index(docs: DataFrame, vocabulary: DataFrame, terms: int) -> DataFrame:
-    """Stored postings: rid (row number), doc_id, n_words, pos, term; term is null in the one extra row of a document."""
-    split = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", raw_words(F.col("text")).alias("w"))
+    """Stored postings: rid (row number), doc_id, text_key, n_words, pos, term. Each document has one extra
+    row with its text_key and n_words, which are null in the others, and no term."""
+    split = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", C.text_key().alias("text_key"), raw_words(F.col("text")).alias("w"))
     lead = (F.element_at("w", 1) == "").cast("int")
     trail = ((F.size("w") > 1) & (F.element_at("w", -1) == "")).cast("int")
-    words = (split.select("rid", "doc_id", F.coalesce(F.size("w") - lead - trail, F.lit(0)).alias("n_words"), F.coalesce(lead, F.lit(0)).alias("lead"),
+    words = (split.select("rid", "doc_id", "text_key", F.coalesce(F.size("w") - lead - trail, F.lit(0)).alias("n_words"), F.coalesce(lead, F.lit(0)).alias("lead"),
                           F.posexplode(F.concat(F.array(F.lit(None).cast("string")), F.coalesce("w", F.array().cast("array<string>")))).alias("at", "word")))
     found = words.join(limited(vocabulary, terms), "word", "left")
     rows = found.where("at = 0 or term is not null").select(
-        "rid", "doc_id", F.when(F.col("at") == 0, F.col("n_words")).alias("n_words"), (F.col("at") - 1 - F.col("lead")).alias("pos"), "term")
+        "rid", "doc_id", F.when(F.col("at") == 0, F.col("text_key")).alias("text_key"), F.when(F.col("at") == 0, F.col("n_words")).alias("n_words"), (F.col("at") - 1 - F.col("lead")).alias("pos"), "term")
     return C.stored(rows, "postings")
 
 
@@ -125,15 +126,15 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> tuple
 
 
 def report(postings: DataFrame, found: DataFrame) -> DataFrame:
-    """One row per document row: rid, doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    """One row per document row: rid, doc_id, text_key, n_words, n_hit, n_items, items_sha256, contaminated."""
     before = Window.partitionBy("rid").orderBy("first", "past").rowsBetween(Window.unboundedPreceding, -1)
     spans = found.select("rid", "first", "past").distinct().withColumn("seen", F.coalesce(F.max("past").over(before), F.lit(0)))
     hits = spans.groupBy("rid").agg(F.sum(F.greatest(F.lit(0), F.col("past") - F.greatest("first", "seen"))).alias("n_hit"))
     names = found.groupBy("rid").agg(F.sort_array(F.collect_set(F.coalesce(F.col("item_id").cast("string"), F.lit("")))).alias("ids"))
-    each = postings.where("n_words is not null").select("rid", "doc_id", F.col("n_words").cast("long").alias("n_words"))
+    each = postings.where("n_words is not null").select("rid", "doc_id", "text_key", F.col("n_words").cast("long").alias("n_words"))
     ids = F.coalesce("ids", F.array().cast("array<string>"))
     return (each.join(hits, "rid", "left").join(names, "rid", "left")
-            .select("rid", "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
+            .select("rid", "doc_id", "text_key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
                     F.sha2(F.concat_ws(",", ids), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated")))
 
 
@@ -143,7 +144,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 def op4_decontamination(spark, sf_dir):
     out = decontaminate(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
-    return out.drop("rid")
+    return out.drop("rid", "text_key")
 
 
 OP4_SQL = r"""

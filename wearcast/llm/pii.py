@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -277,21 +278,28 @@ def listed(col: str):
     return F.concat_ws(",", F.transform(col, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["stop"].cast("string"))))
 
 
-def masked(batches):
-    """Texts with each merged run of spans replaced by its first kind in brackets (columns text, spans)."""
-    for b in batches:
-        out = []
-        for text, spans in zip(C.column(b, "text").to_pylist(), C.column(b, "spans").to_pylist()):
-            parts, at = [], 0
-            for s in spans or ():
-                if s["start"] >= at:
-                    parts += [text[at:s["start"]], f"[{KINDS[s['kind']].upper()}]"]
-                at = max(at, s["stop"])
-            out.append(text if not parts else "".join(parts) + text[at:])
-        i = b.schema.get_field_index("text")
-        cols = list(b.columns)
-        cols[i] = pa.array(out, b.schema.field(i).type)
-        yield pa.RecordBatch.from_arrays(cols, schema=b.schema)
+def redact(docs: DataFrame, least: float = 0.5) -> DataFrame:
+    """``docs`` with each merged run of spans in ``text`` replaced by its first kind in brackets; other columns as they are."""
+    found = detect(docs, least).where(F.size("spans") > 0).select("doc_id", "text_key", F.transform("spans", lambda s: F.struct(s["start"], s["kind"], s["stop"])).alias("spans"))
+    name = f"spans_{uuid.uuid4().hex}"
+    joined = C.by_row(docs, C.stored(found, "pii-found").withColumnRenamed("spans", name), "left")
+    at = docs.columns.index("text")
+
+    def task(batches):
+        for b in batches:
+            out = []
+            for text, spans in zip(b.column(at).to_pylist(), C.column(b, name).to_pylist()):
+                parts, done = [], 0
+                for s in spans or ():
+                    if s["start"] >= done:
+                        parts += [text[done:s["start"]], f"[{KINDS[s['kind']].upper()}]"]
+                    done = max(done, s["stop"])
+                out.append(text if not parts else "".join(parts) + text[done:])
+            cols = list(b.columns)[:-1]
+            cols[at] = pa.array(out, b.column(at).type)
+            yield pa.RecordBatch.from_arrays(cols, schema=pa.schema(list(b.schema)[:-1]))
+
+    return joined.mapInArrow(task, docs.schema)
 
 
 def op5_pii(spark, sf_dir):
