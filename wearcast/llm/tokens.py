@@ -27,7 +27,7 @@ ODD_SPACE = re.compile(r"\s \s| \s* |\s $|^ $")
 #: Bytes before and after a space that may belong to white space (ASCII, and lead bytes of wider spaces).
 ASCII_WS = C.byte_table("\t-\r \x1c-\x1f")
 WIDE_LEAD = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
-MEMO_ENTRIES = 700_000
+MEMO_ENTRIES, PIECE_ENTRIES = 3_000_000, 200_000
 #: ASCII marks that form one pre-token behind a word.
 MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
@@ -39,6 +39,25 @@ def default_vocabulary() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def chunk_hash(words: C.Texts, led: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit key and 32-bit check of each chunk from two polynomials over its bytes."""
+    n, off = len(words), words.off
+    size = np.diff(off)
+    left = np.repeat(off[1:], size) - 1 - np.arange(len(words.data))  # bytes behind each byte
+    out = []
+    with np.errstate(over="ignore"):
+        for step in (np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)):
+            power = np.cumprod(np.full(int(size.max(initial=0)) + 1, step, np.uint64))
+            h = np.zeros(n, np.uint64)
+            full = np.flatnonzero(size)
+            if len(full):
+                h[full] = np.add.reduceat((words.data.astype(np.uint64) + np.uint64(1)) * power[left], off[:-1][full])
+            h = (h + size.astype(np.uint64) * np.uint64(2) + led) * np.uint64(0xBF58476D1CE4E5B9)
+            h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+            out.append(h ^ (h >> np.uint64(32)))
+    return out[0], out[1].astype(np.uint32)
+
+
 class Mapped(dict):
     """Character to its byte-mapped form, asked from the pre-tokenizer once per character."""
 
@@ -51,7 +70,7 @@ class Mapped(dict):
 
 
 class Encoder:
-    """Ids of whole texts. The look-ups are bounded and dropped when full."""
+    """Ids of whole texts. What is remembered of earlier texts is bounded and dropped when full."""
 
     def __init__(self, path: str | None = None):
         from tokenizers import Tokenizer
@@ -60,45 +79,63 @@ class Encoder:
         self.model, self.pre = self.tok.model, self.tok.pre_tokenizer
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.simple = self.tok.normalizer is None and type(self.model).__name__ == "BPE" and type(self.pre).__name__ == "ByteLevel"
-        self.pieces: dict[str, int] = {}
-        self.piece_flat, self.piece_first = array("H" if self.tok.get_vocab_size() < 65536 else "I"), array("q", [0])
         self.mapped = Mapped(self.pre) if self.simple else {}
+        self.pieces: dict[str, list[int]] = {}
+        self.small = self.tok.get_vocab_size() < 65536
         if self.simple:
             self.model._resize_cache(0)  # every piece is asked for once
         self._clear()
 
     def _clear(self) -> None:
-        self.memo: dict[str, int] = {}
-        self.flat, self.first = array("I"), array("q", [0])
+        # chunks by 64-bit hash (sorted) with a 32-bit check of another hash: 25 bytes a chunk instead of 200 for a dict
+        self.keys, self.check, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int32)
+        self.flat, self.first = array("H" if self.small else "I"), array("q", [0])
 
-    def _piece(self, piece: str) -> array:
+    def _piece(self, piece: str) -> list[int]:
         """Ids of one byte-mapped pre-token."""
-        k = self.pieces.get(piece)
-        if k is None:
-            if len(self.pieces) > MEMO_ENTRIES:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if len(self.pieces) > PIECE_ENTRIES:
                 self.pieces.clear()
-                self.piece_flat, self.piece_first = array("H" if self.tok.get_vocab_size() < 65536 else "I"), array("q", [0])
-            k = self.pieces[piece] = len(self.piece_first) - 1
-            self.piece_flat.extend([t.id for t in self.model.tokenize(piece)])
-            self.piece_first.append(len(self.piece_flat))
-        return self.piece_flat[self.piece_first[k]:self.piece_first[k + 1]]
+            ids = self.pieces[piece] = [t.id for t in self.model.tokenize(piece)]
+        return ids
 
-    def _learn(self, chunk: str) -> int:
+    def _learn(self, chunk: str) -> None:
         """Ids of a new chunk: a plain word with ASCII marks behind it is cut here, all else by the pre-tokenizer."""
         lead = chunk[0] == " "
         core = chunk[lead:].rstrip(MARKS)
         if core.isalpha():
-            pieces = [("\u0120" if lead else "") + (core if core.isascii() else core.translate(self.mapped))]
+            self.flat.extend(self._piece(("\u0120" if lead else "") + (core if core.isascii() else core.translate(self.mapped))))
             tail = chunk[lead + len(core):]
             if tail:
-                pieces.append(tail)
+                self.flat.extend(self._piece(tail))
         else:
-            pieces = [p for p, _ in self.pre.pre_tokenize_str(chunk)]
-        for p in pieces:
-            self.flat.extend(self._piece(p).tolist())
-        self.memo[chunk] = len(self.first) - 1
+            for p, _ in self.pre.pre_tokenize_str(chunk):
+                self.flat.extend(self._piece(p))
         self.first.append(len(self.flat))
-        return len(self.first) - 2
+
+    def _slots(self, words: pa.Array, led: np.ndarray) -> np.ndarray:
+        """Slot of each distinct chunk (word, and whether a space leads it); new ones are learnt."""
+        if len(self.keys) > MEMO_ENTRIES:
+            self._clear()
+        key, check = chunk_hash(C.Texts(words), led)
+        at = np.searchsorted(self.keys, key)
+        inside = np.minimum(at, max(len(self.keys) - 1, 0))
+        known = (self.keys[inside] == key) & (self.check[inside] == check) if len(self.keys) else np.zeros(len(key), bool)
+        out = np.zeros(len(key), np.int64)
+        out[known] = self.slot[inside[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            slot = len(self.first) - 1 + np.arange(len(new))
+            for w, space in zip(words.take(pa.array(new)).to_pylist(), led[new].tolist()):
+                self._learn(" " + w if space else w)
+            out[new] = slot
+            order = np.argsort(key[new])
+            new, slot = new[order], slot[order]
+            at = np.searchsorted(self.keys, key[new])
+            self.keys, self.check = np.insert(self.keys, at, key[new]), np.insert(self.check, at, check[new])
+            self.slot = np.insert(self.slot, at, slot.astype(np.int32))
+        return out
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -136,12 +173,7 @@ class Encoder:
         row = runs.row[use]
         key = code[use] * 2 + (runs.start[use] > texts.off[:-1][row])
         inverse, kinds = pd.factorize(key)
-        names = distinct.take(pa.array(kinds // 2)).to_pylist() if len(kinds) else []
-        names = [" " + s if k & 1 else s for s, k in zip(names, kinds.tolist())] + [" "]
-        if len(self.memo) > MEMO_ENTRIES:
-            self._clear()
-        get, learn = self.memo.get, self._learn
-        at = np.fromiter((k if (k := get(s)) is not None else learn(s) for s in names), np.int64, len(names))
+        at = self._slots(pa.concat_arrays([distinct.take(pa.array(kinds // 2)), pa.array([""])]), np.append(kinds % 2, 1).astype(bool))
         flat, first = np.array(self.flat, np.uint32), np.array(self.first, np.int64)
         begin, size = first[at], first[at + 1] - first[at]
         tail = np.zeros(len(texts), bool)  # a last space is a pre-token of its own
