@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wearcast.operators import drift as D
@@ -16,19 +17,43 @@ from wearcast.sources.files import TooManyFieldsError, parse_whitespace_lines
 SCHEMA = "unit_id long, time_cycles long, sensor_1 double"
 
 
-def test_number_rows_strategies_agree(spark):
-    rows = [(u, c, float(c % 7)) for u in range(3) for c in range(1, 400 if u == 0 else 30)]
+def _plain(df, by, order):
+    return df.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))
+
+
+def test_number_rows_equals_plain_window(spark):
+    rows = [(u, c, float(c % 7)) for u in (0, 1, 2, None) for c in range(-40, 9000 if u == 0 else 30)]
     df = spark.createDataFrame(rows, SCHEMA)
-    a = number_rows(df, ["unit_id"], ["time_cycles"], out="r", strategy="range", num_partitions=5)
-    b = number_rows(df, ["unit_id"], ["time_cycles"], out="r", strategy="window")
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    for by, order in ((["unit_id"], ["time_cycles"]), ([], ["unit_id", "time_cycles"])):
+        a = number_rows(df, by, order, out="r")
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, _plain(df, by, order).collect()))
+
+
+def test_number_rows_by_other_types(spark):
+    rows = [(i % 2, float(x), str(x), f"2024-01-{i % 28 + 1:02d} 0{i % 10}:00:00") for i, x in enumerate(
+        [0.0, -0.5, 1e300, -1e300, 3.25, 3.2500001, float("inf"), float("-inf"), float("nan"), 1e-300, 5.0, 4.0, 7.5, 641.82, 641.83] * 1)]
+    df = spark.createDataFrame(rows + [(0, None, None, None)], "g long, x double, s string, t string").withColumn("t", F.col("t").cast("timestamp"))
+    for c in ("x", "s", "t"):
+        a = number_rows(df, ["g"], [c, *[k for k in ("x", "s") if k != c]], out="r")
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, _plain(df, ["g"], [c, *[k for k in ("x", "s") if k != c]]).collect())), c
+
+
+def test_numbering_starts_no_job(spark):
+    df = spark.range(100).select(F.col("id").alias("unit_id"), F.col("id").alias("time_cycles"))
+    spark.sparkContext.setJobGroup("numbering", "numbering")
+    number_rows(df, ["unit_id"], ["time_cycles"])
+    number_rows(df, [], ["unit_id", "time_cycles"])
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("numbering")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert number_rows(df.limit(0), [], ["unit_id"]).count() == 0
 
 
-def test_cumulative_sum_strategies_agree(spark):
-    rows = [(u, float(v), 1) for u in range(2) for v in range(300)]
+def test_cumulative_sum_equals_plain_window(spark):
+    rows = [(u, v / 8 - 20, v % 3) for u in range(2) for v in range(300)]
     df = spark.createDataFrame(rows, "g long, v double, c long")
-    a = cumulative_sum(df, ["g"], ["v"], ["c"], strategy="range", num_partitions=4)
-    b = cumulative_sum(df, ["g"], ["v"], ["c"], strategy="window")
+    a = cumulative_sum(df, ["g"], ["v"], ["c"])
+    w = Window.partitionBy("g").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    b = df.withColumn("c_cum", F.sum("c").over(w))
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 

@@ -22,24 +22,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import CYCLE, UNIT
-from ..session import default_parallelism
 from .sequence import number_rows
 
 DEFAULT_BLOCK_ROWS = 10_000
 
 
 def dense_index(df: DataFrame, unit: str = UNIT, cycle: str = CYCLE, out: str = "_idx",
-                dense: bool = False, strategy: str = "auto") -> DataFrame:
+                dense: bool = False) -> DataFrame:
     """Per-unit consecutive row index; reuse the cycle column when it is dense."""
     if dense:
         return df.withColumn(out, F.col(cycle).cast("long"))
-    return number_rows(df, [unit], [cycle], out=out, strategy=strategy)
+    return number_rows(df, [unit], [cycle], out=out)
 
 
 def rolling(df: DataFrame, width: int, exprs: Callable[..., dict[str, Column]],
             unit: str = UNIT, index: str = "_idx", direction: int = 1,
-            block_rows: int = DEFAULT_BLOCK_ROWS, keep_partial: bool = False,
-            num_partitions: int | None = None) -> DataFrame:
+            block_rows: int = DEFAULT_BLOCK_ROWS, keep_partial: bool = False) -> DataFrame:
     """Apply window expressions over each ``width``-row frame.
 
     ``exprs(w)`` returns ``{name: column expression over w}``; a callback
@@ -69,7 +67,7 @@ def rolling(df: DataFrame, width: int, exprs: Callable[..., dict[str, Column]],
         base = base.unionByName(halo_rows.withColumn("_halo", F.lit(True)))
     # Explicit (unit, block) distribution: an upstream hash(unit) layout would
     # otherwise satisfy the window and keep a hot unit in one task.
-    base = base.repartition(num_partitions or default_parallelism(df.sparkSession), unit, "_blk")
+    base = base.repartition(unit, "_blk")
     ordered = Window.partitionBy(unit, "_blk").orderBy(index)
     w = ordered.rowsBetween(-halo_n, 0) if direction >= 0 else ordered.rowsBetween(0, halo_n)
     cols = exprs(w, ordered) if exprs.__code__.co_argcount >= 2 else exprs(w)

@@ -1,30 +1,19 @@
-"""Skew-safe row numbering inside groups.
-
-``row_number().over(Window.partitionBy(g).orderBy(o))`` sends a whole group
-to one task. A machine with a third of all rows would then sort a third of
-the data in one task. The ``range`` strategy numbers rows without that:
-
-1. range-partition on (group, order) and sort inside partitions, so a hot
-   group is spread over consecutive partitions;
-2. tag each row with its partition id and a within-partition position;
-3. one small aggregate per (partition, group): row count and first position
-   (at most #groups + #partitions rows, pre-aggregated map side);
-4. a running sum of those counts per group over partition ids gives each
-   (partition, group) its offset;
-5. join the offsets back (AQE turns it into a broadcast when small and
-   splits skewed partitions otherwise).
-
-Range bounds are sampled with a seed tied to the RDD, so two branches that
-re-run the exchange can disagree on partition ids. The tagged rows are
-therefore frozen once with a reliable ``checkpoint()`` into the shared
-checkpoint folder before the two branches read them; that also cuts the
-lineage, so a lost executor recomputes from the checkpoint, not the scan.
-Ties must be interchangeable rows: ``total_order=True`` appends every other
-sortable column as a tie breaker.
-
-``auto`` (default) first measures the largest group with one partial
-aggregate; when it is at most ``max_group_rows`` the plain window is proven
-safe and cheaper, otherwise the range strategy is used.
+"""Skew-safe row numbers and running sums inside groups, as one lazy plan.
+
+``row_number().over(Window.partitionBy(g).orderBy(o))`` sends a whole group to one
+task. Here the order key is cut into nested buckets by its value alone (high bits of
+integers, months and hours of timestamps, exponent and mantissa bits of doubles), so
+nothing has to be sampled or measured first:
+
+1. rows are counted (or summed) per (group, finest bucket), a partial aggregate;
+2. each bucket's offset is the sum of the buckets before it, found level by level: a
+   window over the siblings of one parent bucket plus the parent's own offset;
+3. the offsets join the rows as one marker row per bucket, and a window over
+   (group, bucket) numbers the rows behind their marker.
+
+No task holds more than one finest bucket of a group, whatever the group's size, and
+null group keys form a group like any other. Ties in the order must be interchangeable
+rows (``total_order=True`` appends every other sortable column as a tie breaker).
 """
 
 from __future__ import annotations
@@ -33,12 +22,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage, default_parallelism
-
-MAX_GROUP_ROWS = 2_000_000
-
 _SORTABLE = (T.NumericType, T.StringType, T.TimestampType, T.TimestampNTZType,
              T.DateType, T.BooleanType)
+_LOWEST = -(1 << 62)   # level of a null, which sorts first
 
 
 def _tie_breakers(df: DataFrame, used: list[str]) -> list[str]:
@@ -46,73 +32,94 @@ def _tie_breakers(df: DataFrame, used: list[str]) -> list[str]:
             if f.name not in used and isinstance(f.dataType, _SORTABLE)]
 
 
-def largest_group(df: DataFrame, by: list[str]) -> int:
-    """Row count of the largest group (one partial aggregate, one row back)."""
-    r = df.groupBy(*by).count().agg(F.max("count").alias("m")).first()
-    return int(r["m"] or 0)
+def _double_code(x: Column) -> Column:
+    """Order-keeping integer of a double: sign, exponent and 20 mantissa bits (NaN last)."""
+    size = F.abs(x)
+    exp = F.greatest(F.floor(F.log2(size)), F.lit(-1000))
+    part = F.floor((size / F.pow(F.lit(2.0), exp.cast("double")) - 1.0) * F.lit(float(1 << 20)))
+    part = F.least(F.greatest(part, F.lit(-1)), F.lit(1 << 20))
+    code = (exp + 1100) * F.lit(1 << 21) + part + 1
+    return (F.when(F.isnan(x), F.lit(1 << 50))
+            .when(size == float("inf"), F.when(x > 0, F.lit(1 << 49)).otherwise(F.lit(-(1 << 49))))
+            .when(x == 0, F.lit(0)).when(x > 0, code).otherwise(-code).cast("long"))
+
+
+def bucket_levels(df: DataFrame, order: list[str], depth: int) -> list[Column]:
+    """Nested bucket numbers, coarse to fine, of the first ``depth`` order columns."""
+    out: list[Column] = []
+    for name in order[:depth]:
+        kind, c = df.schema[name].dataType, F.col(name)
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            v, shifts = F.unix_micros(c.cast("timestamp")), (42, 32)     # about 50 days, 70 minutes
+        elif isinstance(kind, T.DateType):
+            v, shifts = F.unix_date(c).cast("long"), (7, 0)
+        elif isinstance(kind, (T.IntegralType, T.BooleanType)):
+            v, shifts = c.cast("long"), (24, 12)
+        elif isinstance(kind, T.NumericType):
+            v, shifts = _double_code(c.cast("double")), (12, 0)
+        elif isinstance(kind, T.StringType):
+            v = sum((F.coalesce(F.ascii(F.substring(c, i, 1)), F.lit(0)).cast("long") * F.lit(1 << (63 - 21 * i)) for i in (1, 2)), F.lit(0))
+            shifts = (42, 21)
+        else:
+            raise TypeError(f"cannot number rows by {kind.simpleString()} column {name!r}")
+        last = name == order[:depth][-1]
+        out += [F.coalesce(F.shiftright(v, s), F.lit(_LOWEST)) for s in shifts]
+        if not last:
+            out.append(F.coalesce(v, F.lit(_LOWEST)))   # the next column only orders rows of equal values
+    return out
+
+
+def _null_safe(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & a[k].eqNullSafe(b[f"_p_{k}"])
+    return cond
+
+
+def _offsets(buckets: DataFrame, by: list[str], levels: list[str], sums: list[str]) -> DataFrame:
+    """Sum of ``sums`` over all earlier buckets of the group, for every bucket."""
+    parents = by + levels[:-1]
+    before = Window.partitionBy(*parents).orderBy(levels[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    here = buckets.select(*parents, levels[-1], *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in sums])
+    if len(levels) == 1:
+        return here
+    above = _offsets(buckets.groupBy(*parents).agg(*[F.sum(c).alias(c) for c in sums]), by, levels[:-1], sums)
+    above = above.select(*[F.col(k).alias(f"_p_{k}") for k in parents], *[F.col(c).alias(f"_up_{c}") for c in sums])
+    return here.join(above, _null_safe(here, above, parents)).select(
+        *parents, levels[-1], *[(F.col(c) + F.col(f"_up_{c}")).alias(c) for c in sums])
+
+
+def _with_markers(df: DataFrame, by: list[str], order: list[str], sums: dict[str, Column]) -> tuple[DataFrame, list[str]]:
+    """Rows and one marker row per bucket that carries the bucket's offsets."""
+    cuts = bucket_levels(df, order, 1 if by else 2)   # without a group, the second column cuts equal values of the first
+    names = [f"_l{i}" for i in range(len(cuts))]
+    rows = df.select("*", *[c.alias(n) for c, n in zip(cuts, names)])
+    buckets = rows.groupBy(*by, *names).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    marks = _offsets(buckets, by, names, list(sums)).withColumn("_row", F.lit(0))
+    return rows.withColumn("_row", F.lit(1)).unionByName(marks, allowMissingColumns=True), names
 
 
 def number_rows(df: DataFrame, by: list[str], order: list[str], out: str = "_idx",
-                strategy: str = "auto", num_partitions: int | None = None,
-                total_order: bool = False, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Add ``out`` = 1, 2, ... per group of ``by`` in ``order``.
-
-    strategy ``window`` is the plain one-task-per-group window (fine when
-    groups are known to be small); ``range`` is skew-safe (default).
-    """
-    order = list(order)
-    if total_order:
-        order = order + _tie_breakers(df, list(by) + order)
-    if strategy == "auto":
-        strategy = "window" if largest_group(df, by) <= max_group_rows else "range"
-    if strategy == "window":
-        w = Window.partitionBy(*by).orderBy(*order)
-        return df.withColumn(out, F.row_number().over(w).cast("long"))
-    if strategy != "range":
-        raise ValueError(f"unknown strategy {strategy!r}")
-
-    n = num_partitions or default_parallelism(df.sparkSession)
-    keys = list(by) + order
-    tagged = (df.repartitionByRange(n, *keys)
-                .sortWithinPartitions(*keys)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_pos", F.monotonically_increasing_id()))
-    tagged = cut_lineage(tagged)
-    stats = (tagged.groupBy("_pid", *by)
-                   .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first")))
-    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.select("_pid", *by, "_first",
-                           F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    numbered = tagged.join(offsets, on=["_pid", *by], how="inner")
-    idx: Column = (F.col("_off") + (F.col("_pos") - F.col("_first")) + F.lit(1)).cast("long")
-    return numbered.withColumn(out, idx).drop("_pid", "_pos", "_first", "_off")
+                total_order: bool = False) -> DataFrame:
+    """Add ``out`` = 1, 2, ... per group of ``by`` in ``order``."""
+    order = list(order) + (_tie_breakers(df, list(by) + list(order)) if total_order else [])
+    both, levels = _with_markers(df, list(by), order, {"_n": F.lit(1).cast("long")})
+    w = Window.partitionBy(*by, *levels)
+    rank = F.row_number().over(w.orderBy("_row", *order)).cast("long") - 1
+    return (both.withColumn("_rank", rank).withColumn("_before", F.max("_n").over(w))
+            .where(F.col("_row") == 1).select(*df.columns, (F.col("_before") + F.col("_rank")).cast("long").alias(out)))
 
 
 def cumulative_sum(df: DataFrame, by: list[str], order: list[str], cols: list[str],
-                   strategy: str = "auto", num_partitions: int | None = None,
-                   max_group_rows: int = MAX_GROUP_ROWS, suffix: str = "_cum") -> DataFrame:
+                   suffix: str = "_cum") -> DataFrame:
     """Running sums of ``cols`` per group of ``by`` in ``order`` (inclusive).
 
-    Same two strategies as ``number_rows``: the plain window when the largest
-    group is proven small, otherwise range partitions with per-partition
-    totals and offsets, so a hot group is summed by many tasks. ``order``
-    must be unique within a group (aggregate first).
+    ``order`` must be unique within a group (aggregate first).
     """
-    if strategy == "auto":
-        strategy = "window" if largest_group(df, by) <= max_group_rows else "range"
-    if strategy == "window":
-        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[F.sum(c).over(w).alias(c + suffix) for c in cols])
-    n = num_partitions or default_parallelism(df.sparkSession)
-    keys = list(by) + list(order)
-    tagged = cut_lineage(df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id()))
-    local_w = (Window.partitionBy("_pid", *by).orderBy(*order)
-               .rowsBetween(Window.unboundedPreceding, 0))
-    local = tagged.select("*", *[F.sum(c).over(local_w).alias(c + "_loc") for c in cols])
-    totals = tagged.groupBy("_pid", *by).agg(*[F.sum(c).alias(c + "_tot") for c in cols])
-    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", *by, *[F.coalesce(F.sum(c + "_tot").over(before), F.lit(0))
-                                           .alias(c + "_off") for c in cols])
-    out = local.join(offsets, on=["_pid", *by], how="inner")
-    return out.select(*df.columns, *[(F.col(c + "_loc") + F.col(c + "_off")).alias(c + suffix)
-                                     for c in cols])
+    both, levels = _with_markers(df, list(by), list(order), {f"_s_{c}": F.col(c) for c in cols})
+    w = Window.partitionBy(*by, *levels)
+    inside = w.orderBy("_row", *order).rowsBetween(Window.unboundedPreceding, 0)
+    sums = both.select("*", *[F.sum(c).over(inside).alias(f"_in_{c}") for c in cols],
+                       *[F.max(f"_s_{c}").over(w).alias(f"_to_{c}") for c in cols])
+    return sums.where(F.col("_row") == 1).select(
+        *df.columns, *[(F.col(f"_to_{c}") + F.coalesce(F.col(f"_in_{c}"), F.lit(0))).alias(c + suffix) for c in cols])

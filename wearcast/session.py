@@ -12,7 +12,7 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -75,13 +75,16 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the conf points at shared storage and is used as is.
-    Only when it is unset (tests, local runs) is a scratch folder made.
+    On a cluster the conf points at shared storage and is used as is; it is an
+    error to leave it unset there. A scratch folder is only made on a local master.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="wearcast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -95,11 +98,5 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base.rstrip("/"), "tables", name)
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder (never a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
-
-
 def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -31,7 +31,7 @@ LINEITEM_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_qu
                   "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
-def events_telemetry(spark: SparkSession, sf_dir: str, strategy: str = "auto",
+def events_telemetry(spark: SparkSession, sf_dir: str,
                      keep: tuple[str, ...] = ()) -> DataFrame:
     """Adapter A: one user = one machine; value, hour and a constant sensor.
 
@@ -39,7 +39,7 @@ def events_telemetry(spark: SparkSession, sf_dir: str, strategy: str = "auto",
     """
     ev = read_table(spark, sf_dir, "events").select(
         *dict.fromkeys(["user_id", "ts", "event_id", "value", *keep]))
-    ev = number_rows(ev, ["user_id"], ["ts", "event_id"], out=CYCLE, strategy=strategy)
+    ev = number_rows(ev, ["user_id"], ["ts", "event_id"], out=CYCLE)
     return ev.select(
         *keep,
         F.col("user_id").cast("long").alias(UNIT),
@@ -51,10 +51,10 @@ def events_telemetry(spark: SparkSession, sf_dir: str, strategy: str = "auto",
     )
 
 
-def lineitem_telemetry(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
+def lineitem_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adapter B: one supplier = one machine; four numeric sensors."""
     li = read_table(spark, sf_dir, "lineitem").select(*LINEITEM_ORDER, "l_suppkey")
-    li = number_rows(li, ["l_suppkey"], LINEITEM_ORDER, out=CYCLE, strategy=strategy)
+    li = number_rows(li, ["l_suppkey"], LINEITEM_ORDER, out=CYCLE)
     return li.select(
         F.col("l_suppkey").cast("long").alias(UNIT),
         F.col(CYCLE).cast("long").alias(CYCLE),
