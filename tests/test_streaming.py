@@ -1,38 +1,102 @@
-"""ST1 equals the batch re-based short-window means; late rows are dropped."""
+"""ST1 equals the batch operators; unordered chunks, late rows, nulls and all windows of ST2."""
 
+import math
 import uuid
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from wearcast.operators.features import short_features
+from wearcast.operators.features import extract_features, short_features
 from wearcast.operators.rebase import rebase
 from wearcast.session import shared_path
-from wearcast.streaming.drift_stream import run_to_table
-from wearcast.streaming.unit_state import stream_unit_features
+from wearcast.streaming.drift_stream import run_to_table, run_updates
+from wearcast.streaming.unit_state import make_updater, stream_unit_features
+
+SCHEMA = "unit_id long, time_cycles long, sensor_1 double, sensor_2 double"
+
+
+class State:
+    """A group state as the updater sees it."""
+
+    def __init__(self):
+        self.exists, self.hasTimedOut, self.value, self.removed, self.timeout = False, False, None, False, None
+
+    @property
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.exists, self.value = True, value
+
+    def remove(self):
+        self.removed = True
+
+    def setTimeoutDuration(self, ms):
+        self.timeout = ms
+
+
+def _batch_means(df):
+    based = rebase(df, ["sensor_1", "sensor_2"])
+    short = {(r["unit_id"], r["time_cycles"]): r for r in short_features(based, ["sensor_1", "sensor_2"]).collect()}
+    long = {(r["unit_id"], r["time_cycles"]): r for r in extract_features(based, ["sensor_1", "sensor_2"], 20, {"mean": None}).collect()}
+    return {k: (short[k]["sensor_1__mean"], short[k]["sensor_2__mean"], r["sensor_1__mean"], r["sensor_2__mean"]) for k, r in long.items()}
 
 
 def test_stream_equals_batch(spark):
-    rows = [(u, c, float((u * 7 + c * 3) % 11), float(c % 4)) for u in (1, 2) for c in range(1, 41)]
-    schema = "unit_id long, time_cycles long, sensor_1 double, sensor_2 double"
-    df = spark.createDataFrame(rows, schema)
+    rows = [(u, c, float((u * 7 + c * 3) % 11), float(c % 4)) for u in (1, 2) for c in range(1, 61)]
+    df = spark.createDataFrame(rows, SCHEMA)
     tag = uuid.uuid4().hex[:8]
     src = shared_path(spark, f"t-st1-{tag}")
     for p in range(4):  # files appended in arrival order
-        df.where(F.floor((F.col("time_cycles") - 1) / 10) == p).withColumn("_p", F.lit(p)) \
+        df.where(F.floor((F.col("time_cycles") - 1) / 15) == p).withColumn("_p", F.lit(p)) \
           .write.mode("append").partitionBy("_p").parquet(src)
     # a late row (cycle 3 of unit 1 again) in a later file
-    spark.createDataFrame([(1, 3, 99.0, 99.0)], schema).withColumn("_p", F.lit(9)) \
+    spark.createDataFrame([(1, 3, 99.0, 99.0)], SCHEMA).withColumn("_p", F.lit(9)) \
         .write.mode("append").partitionBy("_p").parquet(src)
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    name = f"t_st1_{tag}"
-    run_to_table(stream_unit_features(stream, ["sensor_1", "sensor_2"]), name,
-                 shared_path(spark, f"t-st1-ck-{tag}"))
-    got = {(r["unit_id"], r["time_cycles"]): r for r in spark.table(name).collect()}
-    want = short_features(rebase(df, ["sensor_1", "sensor_2"]), ["sensor_1", "sensor_2"]).collect()
-    assert len(got) == len(want) == 2 * 26
-    for w in want:
-        g = got[(w["unit_id"], w["time_cycles"])]
-        assert g["sensor_1__mean"] == pytest.approx(w["sensor_1__mean"])
-        assert g["sensor_2__mean"] == pytest.approx(w["sensor_2__mean"])
-    assert max(r["late_rows"] for r in got.values() if r["unit_id"] == 1) <= 1
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 4).parquet(src)
+    feats = stream_unit_features(stream, ["sensor_1", "sensor_2"], predict=lambda out: out["sensor_1__mean"] * 2)
+    out = run_to_table(feats, shared_path(spark, f"t-st1-out-{tag}"), shared_path(spark, f"t-st1-ck-{tag}"))
+    got = {(r["unit_id"], r["time_cycles"]): r for r in out.collect()}
+    want = _batch_means(df)
+    assert len(got) == len(want) == 2 * 31
+    for k, w in want.items():
+        g = got[k]
+        assert (g["sensor_1__mean"], g["sensor_2__mean"], g["sensor_1__long_mean"], g["sensor_2__long_mean"]) == pytest.approx(w)
+        assert g["predicted_rul"] == pytest.approx(2 * g["sensor_1__mean"])
+
+
+def test_unordered_chunks_and_nulls():
+    rng = np.random.default_rng(0)
+    full = pd.DataFrame({"unit_id": 1, "time_cycles": np.arange(1, 61), "sensor_1": rng.normal(size=60), "sensor_2": rng.normal(size=60)})
+    full.loc[[2, 30, 31], "sensor_1"] = np.nan
+    full.loc[:9, "sensor_2"] = np.nan                                   # no baseline at all
+    one, many = State(), State()
+    update = make_updater(["sensor_1", "sensor_2"], ttl_ms=1000)
+    whole = pd.concat(update((1,), iter([full]), one))
+    shuffled = full.sample(frac=1, random_state=1)
+    parts = pd.concat(update((1,), iter([shuffled[:25], shuffled[25:]]), many))
+    pd.testing.assert_frame_equal(whole.reset_index(drop=True), parts.reset_index(drop=True))
+    assert len(whole) == 31 and one.timeout == 1000
+    base = full["sensor_1"][:10].mean()
+    assert whole["sensor_1__long_mean"].iloc[0] == pytest.approx((full["sensor_1"][10:30] - base).mean())
+    assert whole["sensor_2__long_mean"].isna().all() and (whole["late_rows"] == 0).all()
+    # the same rows again are late; new ones go on from the state
+    assert not list(update((1,), iter([full]), one)) and one.value[-1] == 60
+    more = pd.DataFrame({"unit_id": 1, "time_cycles": [61], "sensor_1": [1.0], "sensor_2": [math.nan]})
+    again = pd.concat(update((1,), iter([more]), one))
+    assert again["time_cycles"].tolist() == [61] and again["late_rows"].tolist() == [60]
+    one.hasTimedOut = True
+    assert not list(update((1,), iter([]), one)) and one.removed
+
+
+def test_updates_keep_last_version(spark):
+    tag = uuid.uuid4().hex[:8]
+    src = shared_path(spark, f"t-upd-{tag}")
+    for p in range(3):
+        spark.createDataFrame([("a", p + 1.0), ("b", 1.0)], "k string, v double").coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema("k string, v double").option("maxFilesPerTrigger", 1).parquet(src)
+    counts = stream.groupBy("k").agg(F.sum("v").alias("total"), F.count("*").alias("n"))
+    out = run_updates(counts, ["k"], shared_path(spark, f"t-upd-out-{tag}"), shared_path(spark, f"t-upd-ck-{tag}"))
+    assert sorted(map(tuple, out.collect())) == [("a", 6.0, 3), ("b", 3.0, 3)]

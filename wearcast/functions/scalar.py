@@ -102,8 +102,11 @@ def health_status(rul) -> Column:
 
 
 def feature_drift_flag(psi, mean_shift) -> Column:
-    """PSI > 0.7 or mean shift > 3."""
-    return (_c(psi) > PSI_DRIFT) | (_c(mean_shift) > MEAN_SHIFT_DRIFT)
+    """PSI > 0.7 or mean shift > 3. An undefined (NaN) value is no drift, although Spark sorts NaN highest."""
+    def above(x: Column, bound: float) -> Column:
+        return (x > bound) & ~F.isnan(x)
+
+    return above(_c(psi), PSI_DRIFT) | above(_c(mean_shift), MEAN_SHIFT_DRIFT)
 
 
 def upper_cap(x, bound: float = 1.0) -> Column:

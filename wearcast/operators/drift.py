@@ -242,7 +242,7 @@ def first_run_report(spark) -> DataFrame:
     """No reference profile -> drift, retrain."""
     return spark.createDataFrame(
         [(datetime.now(timezone.utc).replace(tzinfo=None), True, True, True, "retrain",
-          "No reference data available - initial training required")],
+          "first run: no stored reference, train before scoring")],
         "ts timestamp, first_run boolean, data_drift boolean, overall_drift boolean, "
         "recommendation string, reason string")
 

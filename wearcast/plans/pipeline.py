@@ -9,9 +9,7 @@ storage on a cluster).
 
 from __future__ import annotations
 
-import os
-
-from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel
+from pyspark.ml.regression import GBTRegressionModel, GeneralizedLinearRegressionModel, RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..ml import score as SC
@@ -25,19 +23,33 @@ from ..operators.quality import MetricsTable, ingestion_quality
 from ..sinks.tables import load_reference, save_reference, write_report, write_table
 
 
+MODEL_CLASSES = {"boosted": GBTRegressionModel, "random_forest": RandomForestRegressionModel,
+                 "poisson_glm": GeneralizedLinearRegressionModel}
+
+
+def _at(workdir: str, name: str) -> str:
+    return f"{workdir.rstrip('/')}/{name}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in the file system it names (shared storage included)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def build_reference(train: DataFrame, workdir: str) -> None:
     """Stage 7: profile and fleet shape of the training table."""
-    save_reference(D.reference_profile(train), D.fleet_shape(train), os.path.join(workdir, "reference"))
+    save_reference(D.reference_profile(train), D.fleet_shape(train), _at(workdir, "reference"))
 
 
 def drift_stage(spark: SparkSession, train: DataFrame | None, test: DataFrame, workdir: str) -> dict:
     """Stage 2: the verdict (first run when no reference is stored)."""
-    ref = load_reference(spark, os.path.join(workdir, "reference"))
+    ref = load_reference(spark, _at(workdir, "reference"))
     if ref is None:
         parts = D.detect_drift(None, None, None, test)
     else:
         parts = D.detect_drift(ref[0], ref[1], train, test)
-    write_report(parts, os.path.join(workdir, "drift_report"))
+    write_report(parts, _at(workdir, "drift_report"))
     return parts
 
 
@@ -48,23 +60,26 @@ def train_stage(spark: SparkSession, train: DataFrame, workdir: str, configs: li
     x = pre.transform(train).persist()
     lm, sm = S.long_pipeline().fit(x), S.short_pipeline().fit(x)
     feats = join_feature_sets(lm.transform(x), sm.transform(x))
-    write_table(feats, os.path.join(workdir, "features"))
-    feats = spark.read.parquet(os.path.join(workdir, "features"))   # lineage cut at the stage table
+    write_table(feats, _at(workdir, "features"))
+    feats = spark.read.parquet(_at(workdir, "features"))   # lineage cut at the stage table
     data, inputs = T.training_set(feats)
     res = T.tune(spark, T.with_folds(data), inputs, configs, parallelism=parallelism)
-    write_table(T.trials_table(spark, res["trials"]), os.path.join(workdir, "trials"))
-    write_table(T.cv_table(spark, res["best"]), os.path.join(workdir, "cv_results"))
-    write_table(T.importance_table(spark, res["model"], inputs, top=None), os.path.join(workdir, "importance"))
-    SC.save_artifacts(spark, os.path.join(workdir, "artifacts"), pre, lm, sm, res["model"], inputs)
+    write_table(T.trials_table(spark, res["trials"]), _at(workdir, "trials"))
+    write_table(T.cv_table(spark, res["best"]), _at(workdir, "cv_results"))
+    write_table(T.cv_summary(T.cv_table(spark, res["best"]), data.count(), len(inputs)), _at(workdir, "training_metrics"))
+    write_table(T.improvement_over_baseline(data, res["best"]["test_rmse"]), _at(workdir, "improvement"))
+    if hasattr(res["model"], "featureImportances"):
+        write_table(T.importance_table(spark, res["model"], inputs, top=None), _at(workdir, "importance"))
+    SC.save_artifacts(spark, _at(workdir, "artifacts"), pre, lm, sm, res["model"], inputs)
     return res
 
 
 def predict_stage(spark: SparkSession, test: DataFrame, workdir: str, model_type: str) -> dict:
     """Stage 6: score the last window per unit, evaluate against known RUL."""
-    cls = GBTRegressionModel if model_type == "boosted" else RandomForestRegressionModel
-    art = SC.load_artifacts(spark, os.path.join(workdir, "artifacts"), cls)
+    cls = MODEL_CLASSES[model_type]
+    art = SC.load_artifacts(spark, _at(workdir, "artifacts"), cls)
     scored = SC.score(test.drop("rul") if "rul" in test.columns else test, art)
-    write_table(scored, os.path.join(workdir, "predictions"))
+    write_table(scored, _at(workdir, "predictions"))
     out = {"scored": scored}
     truth = true_rul(test)
     if truth is not None:
@@ -72,20 +87,20 @@ def predict_stage(spark: SparkSession, test: DataFrame, workdir: str, model_type
         pred = scored.select("engine_id", "predicted_rul")
         out["table"] = prediction_table(pred, truth)
         out["metrics"] = evaluation_metrics(pred, truth)
-        write_table(out["metrics"], os.path.join(workdir, "evaluation"))
+        write_table(out["metrics"], _at(workdir, "evaluation"))
     return out
 
 
 def run_pipeline(spark: SparkSession, train: DataFrame, test: DataFrame, workdir: str,
                  configs: list[dict] | None = None) -> dict:
     """Drift decides between retraining and scoring with stored artifacts."""
-    metrics = MetricsTable(spark, os.path.join(workdir, "metrics"))
+    metrics = MetricsTable(spark, _at(workdir, "metrics"))
     with metrics.stage("data_ingestion"):
         metrics.record_frame("data_ingestion", ingestion_quality(train, "train"))
     with metrics.stage("drift_detection"):
         parts = drift_stage(spark, train, test, workdir)
         verdict = parts["summary"].first()
-    retrain = bool(verdict["overall_drift"]) or not os.path.exists(os.path.join(workdir, "artifacts"))
+    retrain = bool(verdict["overall_drift"]) or not path_exists(spark, _at(workdir, "artifacts/features"))
     model_type = None
     if retrain:
         with metrics.stage("model_training"):
@@ -93,7 +108,7 @@ def run_pipeline(spark: SparkSession, train: DataFrame, test: DataFrame, workdir
             model_type = res["best"]["model_type"]
         build_reference(train, workdir)
     else:
-        model_type = spark.read.parquet(os.path.join(workdir, "trials")) \
+        model_type = spark.read.parquet(_at(workdir, "trials")) \
             .orderBy("test_rmse", "trial").first()["model_type"]
     with metrics.stage("model_prediction"):
         pred = predict_stage(spark, test, workdir, model_type)

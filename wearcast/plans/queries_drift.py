@@ -116,7 +116,7 @@ SELECT cs.feature, round(ksp.ks_statistic, 6) AS ks_statistic, round(ksp.ks_p_va
        round(psi.psi_score, 6) AS psi_score,
        round(abs(cs.current_mean - prof.mean) / (coalesce(prof.std, 'nan'::DOUBLE) + 1e-8), 6) AS mean_drift,
        round(prof.mean, 6) AS reference_mean, round(cs.current_mean, 6) AS current_mean,
-       (psi.psi_score > 0.7 OR abs(cs.current_mean - prof.mean) / (coalesce(prof.std, 'nan'::DOUBLE) + 1e-8) > 3.0)
+       (psi.psi_score > 0.7 OR (prof.std IS NOT NULL AND abs(cs.current_mean - prof.mean) / (prof.std + 1e-8) > 3.0))
          AS drift_detected
 FROM cs JOIN prof ON cs.feature = prof.feature JOIN psi ON cs.feature = psi.feature
 JOIN ksp ON cs.feature = ksp.feature WHERE cs.n > 0 AND prof.n > 0"""
@@ -196,7 +196,7 @@ lref AS ({_long("ref")}), lcur AS ({_long("cur")}),
 {PROFILE}, {_psi_sql()},
 cs AS (SELECT feature, avg(value) AS current_mean, count(value) AS n FROM lcur GROUP BY feature),
 det AS (SELECT cs.feature, psi.psi_score,
-          (psi.psi_score > 0.7 OR abs(cs.current_mean - prof.mean) / (coalesce(prof.std, 'nan'::DOUBLE) + 1e-8) > 3.0) AS dd
+          (psi.psi_score > 0.7 OR (prof.std IS NOT NULL AND abs(cs.current_mean - prof.mean) / (prof.std + 1e-8) > 3.0)) AS dd
         FROM cs JOIN prof ON cs.feature = prof.feature JOIN psi ON cs.feature = psi.feature WHERE cs.n > 0 AND prof.n > 0),
 st AS (SELECT feature, avg(CASE WHEN value IS NULL THEN 1.0 ELSE 0.0 END) AS cm, min(value) AS mn, max(value) AS mx
        FROM lcur GROUP BY feature),

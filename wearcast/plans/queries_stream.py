@@ -1,6 +1,7 @@
-"""Registered streaming queries (rows-only): ST1 per-unit state over the
-events telemetry replayed from the shared folder, ST2 windowed drift of
-the events stream against the reference profile of the first half."""
+"""Registered streaming queries over Parquet replays in the shared folder: ST1 per-unit
+features and predictions of the events telemetry, ST2 drift of every day of the events
+stream against the reference profile of the first half. Both are checked against SQL
+over the same tables as a batch."""
 
 from __future__ import annotations
 
@@ -9,44 +10,82 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators.drift import reference_profile
+from ..operators.label import add_rul
+from ..schema import CYCLE, RUL, RUL_CAP
 from ..session import shared_path
 from ..sources.telemetry import events_telemetry, read_table
 from ..streaming.drift_stream import (events_sensor_stream, reference_bin_shares, replay_events,
-                                      run_to_table, window_verdicts, windowed_counts)
+                                      run_to_table, run_updates, window_verdicts, windowed_counts)
 from ..streaming.unit_state import stream_unit_features
+from .oracle_sql import TEL_EVENTS, rebased
+from .queries_drift import BIN, SPLIT
 from .registry import query
 
 SENS = ["sensor_1", "sensor_2", "sensor_3"]
 
 
-@query("stream_unit_features")
+def cycle_model(tel):
+    """Least squares of the capped label on the cycle, fitted on all rows: (intercept, slope)."""
+    r = add_rul(tel, cap=RUL_CAP).agg(F.regr_intercept(RUL, CYCLE), F.regr_slope(RUL, CYCLE)).first()
+    return float(r[0] or 0.0), float(r[1] or 0.0)
+
+
+@query("stream_unit_features", sql=f"""WITH {TEL_EVENTS}, {rebased(SENS)},
+lab AS (SELECT *, CAST(least(max(time_cycles) OVER (PARTITION BY unit_id) - time_cycles, {RUL_CAP}) AS DOUBLE) AS y FROM tel),
+fit AS (SELECT regr_intercept(y, time_cycles) AS a, regr_slope(y, time_cycles) AS b FROM lab),
+w AS (SELECT unit_id, time_cycles, {", ".join(f"avg({s}) OVER s5 AS {s}__mean, avg({s}) OVER s20 AS {s}__long_mean" for s in SENS)}, count(*) OVER s20 AS n
+      FROM reb WINDOW s5 AS (PARTITION BY unit_id ORDER BY time_cycles ROWS BETWEEN 4 PRECEDING AND CURRENT ROW),
+                      s20 AS (PARTITION BY unit_id ORDER BY time_cycles ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))
+SELECT unit_id, time_cycles, {", ".join(f"round({s}__mean, 6) AS {s}__mean, round({s}__long_mean, 6) AS {s}__long_mean" for s in SENS)},
+       round(a + b * time_cycles, 6) AS predicted_rul, CAST(0 AS BIGINT) AS late_rows
+FROM w, fit WHERE n = 20""")
 def q_st1(spark, sf):
     tel = events_telemetry(spark, sf)
     tag = uuid.uuid4().hex[:8]
     src = shared_path(spark, f"st1-src-{tag}")
-    # replay: telemetry appended as file groups in cycle order (arrival order)
-    tel = tel.persist()
-    last = tel.agg(F.max("time_cycles")).first()[0]
-    for p in range(0, (last + 24) // 25):
-        tel.where(F.floor((F.col("time_cycles") - 1) / 25) == p).withColumn("_part", F.lit(p)) \
-           .coalesce(1).write.mode("append").partitionBy("_part").parquet(src)
-    stream = spark.readStream.schema(tel.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    name = f"st1_{tag}"
-    run_to_table(stream_unit_features(stream, SENS), name, shared_path(spark, f"st1-ckpt-{tag}"))
-    return spark.table(name)
-
-
-@query("stream_window_drift")
+    tel.write.parquet(src)   # the replay's files
+    a, b = cycle_model(tel)
+    stream = spark.readStream.schema(tel.schema).parquet(src)
+    feats = stream_unit_features(stream, SENS, predict=lambda out: a + b * out[CYCLE])
+    out = run_to_table(feats, shared_path(spark, f"st1-out-{tag}"), shared_path(spark, f"st1-ckpt-{tag}"))
+    return out.select(*[F.round(c, 6).alias(c) if t == "double" else c for c, t in out.dtypes])
+
+
+_ST2_SQL = f"""WITH ev AS (SELECT ts, CAST(value AS DOUBLE) AS sensor_1, CAST(hour(ts) AS DOUBLE) AS sensor_2 FROM events),
+al AS (SELECT ts, 'sensor_1' AS feature, sensor_1 AS value FROM ev UNION ALL SELECT ts, 'sensor_2', sensor_2 FROM ev),
+prof AS (SELECT feature, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min, max(value) AS max,
+                avg(CASE WHEN value IS NULL THEN 1.0 ELSE 0.0 END) AS missing_rate FROM al WHERE ts < TIMESTAMP '{SPLIT}' GROUP BY feature),
+edges AS (SELECT *, CASE WHEN min = max THEN min - 0.5 ELSE min END AS lo, CASE WHEN min = max THEN max + 0.5 ELSE max END AS hi FROM prof),
+raws AS (SELECT ts, feature, value, lo, hi, least(CAST(floor((value - lo) * (10.0 / (hi - lo))) AS INTEGER), 9) AS raw FROM al JOIN edges USING (feature)),
+bins AS (SELECT ts, feature, value, {BIN} AS bin FROM raws),
+ref AS (SELECT e.feature, b AS bin, (SELECT count(*) FROM bins WHERE bins.feature = e.feature AND bins.bin = b AND ts < TIMESTAMP '{SPLIT}')
+               / (SELECT count(value) FROM bins WHERE bins.feature = e.feature AND ts < TIMESTAMP '{SPLIT}') AS r
+        FROM edges e, range(0, 10) t(b)),
+day AS (SELECT date_trunc('day', ts) AS w, feature, count(*) AS rows, count(value) AS n, min(value) AS mn, max(value) AS mx, avg(value) AS av FROM al GROUP BY ALL),
+cur AS (SELECT date_trunc('day', ts) AS w, feature, bin, count(*) AS c FROM bins WHERE bin IS NOT NULL GROUP BY ALL),
+psi AS (SELECT d.w, d.feature, abs(sum((greatest(coalesce(c.c, 0) / d.n, CASE WHEN c.c IS NULL THEN 0.0001 ELSE 0 END) - CASE WHEN r.r = 0 THEN 0.0001 ELSE r.r END)
+              * ln(greatest(coalesce(c.c, 0) / d.n, CASE WHEN c.c IS NULL THEN 0.0001 ELSE 0 END) / CASE WHEN r.r = 0 THEN 0.0001 ELSE r.r END))) AS psi_score
+        FROM day d JOIN ref r ON r.feature = d.feature LEFT JOIN cur c ON c.w = d.w AND c.feature = d.feature AND c.bin = r.bin GROUP BY ALL)
+SELECT CAST(d.w AS TIMESTAMP) AS window_start, d.feature, d.rows, d.n, round(psi_score, 6) AS psi_score,
+       round(abs(d.av - p.mean) / (p.std + 1e-8), 6) AS mean_drift, round(1 - d.n / d.rows, 6) AS missing_rate,
+       (d.mn < p.min * 0.8 OR d.mx > p.max * 1.2) AS range_drift, round(p.missing_rate, 6) AS ref_missing,
+       (psi_score > 0.7 OR abs(d.av - p.mean) / (p.std + 1e-8) > 3 OR abs(1 - d.n / d.rows - p.missing_rate) > 0.2
+        OR d.mn < p.min * 0.8 OR d.mx > p.max * 1.2) AS drift_detected
+FROM day d JOIN psi USING (w, feature) JOIN prof p USING (feature)"""
+
+
+@query("stream_window_drift", sql=_ST2_SQL)
 def q_st2(spark, sf):
     ev = read_table(spark, sf, "events")
-    ref = ev.where(F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")).select(
+    ref = ev.where(F.col("ts") < F.lit(SPLIT).cast("timestamp_ntz")).select(
         F.col("value").cast("double").alias("sensor_1"), F.hour("ts").cast("double").alias("sensor_2"))
     feats = ["sensor_1", "sensor_2"]
-    prof = reference_profile(ref, feats).persist()
-    shares = reference_bin_shares(ref, prof, feats).persist()
+    prof = reference_profile(ref, feats)
+    shares = reference_bin_shares(ref, prof, feats)
     tag = uuid.uuid4().hex[:8]
     src = replay_events(spark, sf, shared_path(spark, f"st2-src-{tag}"))
     counts = windowed_counts(events_sensor_stream(spark, src), prof, feats)
-    name = f"st2_{tag}"
-    run_to_table(counts, name, shared_path(spark, f"st2-ckpt-{tag}"))
-    return window_verdicts(spark.table(name), prof, shares)
+    last = run_updates(counts, ["w", "feature"], shared_path(spark, f"st2-out-{tag}"), shared_path(spark, f"st2-ckpt-{tag}"))
+    out = window_verdicts(last, prof, shares).drop("window_end")
+    out = out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    return out.select(*[F.round(c, 6).alias(c) if t == "double" else c for c, t in out.dtypes])

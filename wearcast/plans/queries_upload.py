@@ -19,9 +19,9 @@ FROM lineitem"""
 
 
 def conform(parsed, data_type: str = "test", dataset: str = "FD001", with_clock: bool = False):
-    """P5 + P4 + P6: constants, canonical order (existing only), numeric coercion."""
+    """P5 + P4 + P6: constants, canonical order (existing only), numeric coercion (bad or NaN text is null)."""
     numeric = [c for c in RAW_FIELDS if c in parsed.columns]
-    df = parsed.select(*[F.expr(f"try_cast(`{c}` AS DOUBLE)").alias(c) for c in numeric])
+    df = parsed.select(*[F.expr(f"nullif(try_cast(`{c}` AS DOUBLE), double('NaN'))").alias(c) for c in numeric])
     df = df.withColumn("rul", F.lit(None).cast("double")) \
            .withColumn("data_type", F.lit(data_type)).withColumn("dataset", F.lit(dataset))
     if with_clock:

@@ -2,15 +2,15 @@
 
 ``withWatermark`` + tumbling ``window()`` aggregation of per-sensor counts,
 nulls, min, max, sum and the PSI bin counts (bins from the reference
-edges, joined as a static broadcast). PSI and flags are computed from the
-closed window's counts. Windows are emitted in append mode once the
-watermark passes them.
+edges, joined as a static broadcast). Windows are emitted in update mode:
+every micro-batch appends the windows it changed to a Parquet table with its
+batch number, and the last version of each window is the result, so the
+newest windows are there before the watermark passes them. PSI and flags are
+computed from that table.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,20 +19,16 @@ from ..operators.drift import PSI_BINS, bin_index, psi_edges
 
 
 def replay_events(spark: SparkSession, sf_dir: str, folder: str) -> str:
-    """Write the events table as one file group per day (the arrival order of a replay)."""
-    ev = spark.read.parquet(os.path.join(sf_dir, "events.parquet")).withColumn("_day", F.to_date("ts"))
-    ev = ev.persist()
-    days = sorted(r["_day"] for r in ev.select("_day").distinct().collect())
-    for d in days:  # appended in day order: the file source replays by modification time
-        ev.where(F.col("_day") == F.lit(d)).coalesce(1).write.mode("append").partitionBy("_day").parquet(folder)
-    ev.unpersist()
+    """Write the events table as one folder per day (the files of a replay), in one job."""
+    ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").withColumn("_day", F.to_date("ts"))
+    ev.repartition("_day").write.partitionBy("_day").parquet(folder)
     return folder
 
 
-def events_sensor_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Streaming events as sensor readings (value, hour); file source, one file per trigger."""
+def events_sensor_stream(spark: SparkSession, folder: str, files: int = 1000) -> DataFrame:
+    """Streaming events as sensor readings (value, hour); file source, at most ``files`` files per trigger."""
     schema = spark.read.parquet(folder).schema
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
     # event time must be TIMESTAMP for the watermark (session clock is UTC)
     return src.select(F.col("ts").cast("timestamp").alias("ts"),
                       F.col("value").cast("double").alias("sensor_1"),
@@ -95,8 +91,23 @@ def reference_bin_shares(ref: DataFrame, profile: DataFrame, features: list[str]
                 .select("feature", "bin", (F.coalesce(F.col("k"), F.lit(0)) / F.col("t")).alias("r")))
 
 
-def run_to_table(df: DataFrame, name: str, checkpoint: str, mode: str = "append") -> None:
-    """Drive a streaming plan to completion into an in-memory table (tests, queries)."""
-    q = (df.writeStream.format("memory").queryName(name).outputMode(mode)
+def run_to_table(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Drive an append plan over all available input into a Parquet table."""
+    q = (df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+           .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def run_updates(df: DataFrame, keys: list[str], path: str, checkpoint: str) -> DataFrame:
+    """Drive an update-mode plan into a Parquet table of versions; returns the last version of each key."""
+    def write(batch: DataFrame, number: int) -> None:
+        batch.withColumn("_batch", F.lit(number).cast("long")).write.mode("append").parquet(path)
+
+    q = (df.writeStream.foreachBatch(write).outputMode("update")
            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
+    versions = df.sparkSession.read.parquet(path)
+    rest = [c for c in df.columns if c not in keys]
+    last = versions.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_batch").alias("_v"))
+    return last.select(*keys, *[F.col(f"_v.`{c}`").alias(c) for c in rest])

@@ -1,74 +1,101 @@
-"""ST1: per-unit streaming state for scoring features as telemetry arrives.
-
-State per unit (``applyInPandasWithState``): baseline sums of the first
-``n_first`` cycles per sensor, whether the baseline is frozen (it freezes at
-the first cycle > n_first), the last cycle seen, the last ``width - 1``
-re-based rows and a late-row counter. Each new cycle after the baseline
-emits its re-based values and, once ``width`` rows exist, the rolling mean
-per sensor (equal to the batch short-window features on in-order data).
-Rows at or below the last seen cycle are late: counted and dropped.
+"""ST1: per-unit streaming state: features and a prediction for every full window.
+
+State per unit (``applyInPandasWithState``): per sensor the sum and the count of the
+non-null baseline values (cycles up to ``n_first``; the baseline is frozen at the first
+later cycle), the last cycle seen, the last ``long - 1`` re-based rows and the number of
+late rows. All rows of a unit's micro-batch are sorted together, whatever chunks they
+arrive in. Once ``long`` re-based rows exist, each new cycle emits the means of the short
+and the long window per sensor and ``predict`` of them. Rows at or below the last seen
+cycle of an earlier batch (or repeated in one) are late: counted and dropped. A null value
+is left out of means, as in the batch operators; a sensor without a baseline stays null.
+State of units that stay silent for ``ttl_ms`` is removed (for always-on triggers: with a
+processing-time timeout an available-now run would keep starting batches).
 """
 
 from __future__ import annotations
 
-import json
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..schema import BASELINE_CYCLES, CYCLE, SHORT_WINDOW, UNIT
+from ..schema import BASELINE_CYCLES, CYCLE, LONG_WINDOW, SHORT_WINDOW, UNIT
+
+STATE_SCHEMA = ("last_cycle long, frozen boolean, base_sum array<double>, base_n array<long>, "
+                "recent array<double>, late long")
+
 
-STATE_SCHEMA = "last_cycle long, frozen boolean, n_base long, base string, buf string, late long"
+def output_columns(sensors: list[str]) -> list[str]:
+    return [UNIT, CYCLE, *[f"{s}__mean" for s in sensors], *[f"{s}__long_mean" for s in sensors],
+            "predicted_rul", "late_rows"]
 
 
 def _out_schema(sensors: list[str]) -> str:
-    return ", ".join([f"{UNIT} long", f"{CYCLE} long", *[f"{s}__mean double" for s in sensors],
-                      "late_rows long"])
+    return ", ".join(f"{c} {'long' if c in (UNIT, CYCLE, 'late_rows') else 'double'}" for c in output_columns(sensors))
+
+
+def window_means(rows: np.ndarray, width: int) -> np.ndarray:
+    """Means over the last ``width`` rows at every row with that many, nulls left out."""
+    ok = ~np.isnan(rows)
+    total = np.vstack([np.zeros((1, rows.shape[1])), np.cumsum(np.where(ok, rows, 0.0), axis=0)])
+    many = np.vstack([np.zeros((1, rows.shape[1])), np.cumsum(ok, axis=0)])
+    n = many[width:] - many[:-width]
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return np.where(n > 0, (total[width:] - total[:-width]) / n, np.nan)
+
 
+def make_updater(sensors: list[str], n_first: int = BASELINE_CYCLES, short: int = SHORT_WINDOW,
+                 long: int = LONG_WINDOW, predict: Callable | None = None, ttl_ms: int | None = None):
+    columns, k = output_columns(sensors), len(sensors)
 
-def make_updater(sensors: list[str], n_first: int = BASELINE_CYCLES, width: int = SHORT_WINDOW):
     def update(key, pdfs, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
         if state.exists:
-            last, frozen, n_base, base, buf, late = state.get
-            base = np.array(json.loads(base), dtype=float)
-            buf = [list(r) for r in json.loads(buf)]
+            last, frozen, base_sum, base_n, recent, late = state.get
+            base_sum, base_n = np.array(base_sum, float), np.array(base_n, np.int64)
+            recent = np.array([np.nan if v is None else v for v in recent], float).reshape(-1, k)
         else:
-            last, frozen, n_base, late = 0, False, 0, 0
-            base = np.zeros(len(sensors))
-            buf = []
-        out = []
-        for pdf in pdfs:
-            pdf = pdf.sort_values(CYCLE, kind="mergesort")
-            for row in pdf.itertuples(index=False):
-                cyc = int(getattr(row, CYCLE))
-                vals = np.array([getattr(row, s) for s in sensors], dtype=float)
-                if cyc <= last:
-                    late += 1
-                    continue
-                last = cyc
-                if cyc <= n_first and not frozen:
-                    base += vals
-                    n_base += 1
-                    continue
-                frozen = True
-                mean = base / n_base if n_base else np.full(len(sensors), np.nan)
-                buf.append(list(vals - mean))
-                buf = buf[-width:]
-                if len(buf) == width:
-                    m = np.mean(np.array(buf, dtype=float), axis=0)
-                    out.append((key[0], cyc, *[float(v) for v in m], late))
-        state.update((last, frozen, n_base, json.dumps(base.tolist()),
-                      json.dumps(buf[-(width - 1):] if width > 1 else []), late))
-        cols = [UNIT, CYCLE, *[f"{s}__mean" for s in sensors], "late_rows"]
-        yield pd.DataFrame(out, columns=cols)
+            last, frozen, base_sum, base_n, recent, late = -(1 << 62), False, np.zeros(k), np.zeros(k, np.int64), np.zeros((0, k)), 0
+        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(CYCLE, kind="mergesort")
+        new = batch[batch[CYCLE] > last].drop_duplicates(CYCLE)
+        late += len(batch) - len(new)
+        cycle = new[CYCLE].to_numpy(np.int64)
+        values = new[sensors].to_numpy(float, na_value=np.nan)
+        early = cycle <= n_first if not frozen else np.zeros(len(cycle), bool)
+        ok = ~np.isnan(values[early])
+        base_sum, base_n = base_sum + np.where(ok, values[early], 0.0).sum(0), base_n + ok.sum(0)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            rows = values[~early] - np.where(base_n > 0, base_sum / base_n, np.nan)
+        frozen = frozen or bool((~early).any())
+        series = np.vstack([recent, rows])
+        cycles = cycle[~early]
+        if len(cycle):
+            last = int(cycle[-1])
+        keep = series[max(0, len(series) - (long - 1)):]
+        state.update((last, frozen, base_sum.tolist(), base_n.tolist(),
+                      [None if np.isnan(v) else float(v) for v in keep.ravel()], int(late)))
+        if ttl_ms:
+            state.setTimeoutDuration(ttl_ms)
+        full = min(len(rows), max(0, len(series) - long + 1))
+        if full:
+            out = pd.DataFrame(np.hstack([window_means(series, short)[-full:], window_means(series, long)[-full:]]), columns=columns[2:-2])
+            out.insert(0, UNIT, key[0])
+            out.insert(1, CYCLE, cycles[-full:])
+            out["predicted_rul"] = predict(out) if predict else np.nan
+            out["late_rows"] = late
+            yield out[columns]
     return update
 
 
 def stream_unit_features(stream: DataFrame, sensors: list[str], n_first: int = BASELINE_CYCLES,
-                         width: int = SHORT_WINDOW) -> DataFrame:
-    """Keyed by unit; one output row per new full window."""
+                         short: int = SHORT_WINDOW, long: int = LONG_WINDOW, predict: Callable | None = None,
+                         ttl_ms: int | None = None) -> DataFrame:
+    """Keyed by unit; one row per new full long window. ``predict`` maps the output frame to one value a row."""
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout
     return (stream.select(UNIT, CYCLE, *sensors).groupBy(UNIT)
-                  .applyInPandasWithState(make_updater(sensors, n_first, width), _out_schema(sensors),
-                                          STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout))
+                  .applyInPandasWithState(make_updater(sensors, n_first, short, long, predict, ttl_ms), _out_schema(sensors),
+                                          STATE_SCHEMA, "append", timeout))
