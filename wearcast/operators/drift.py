@@ -8,6 +8,7 @@ the schema and they are broadcast explicitly.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as X
 from ..schema import CYCLE, UNIT, sensor_columns
+from ..session import shared_path
 from .sequence import cumulative_sum
 
 PSI_BINS = 10
@@ -87,19 +89,24 @@ def psi_edges(profile: DataFrame) -> DataFrame:
                           F.when(same, F.col("max") + 0.5).otherwise(F.col("max")).alias("hi"))
 
 
-def psi(ref: DataFrame, cur: DataFrame, features: list[str], profile: DataFrame | None = None,
-        bins: int = PSI_BINS) -> DataFrame:
+def value_counts(df: DataFrame, features: list[str]) -> DataFrame:
+    """(feature, value, n): how often each value occurs, nulls included; one partial aggregate.
+
+    Profile checks, bins and distribution functions all follow from it, so a stored
+    reference needs no second look at its rows.
+    """
+    return long_form(df, features).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def psi_from_counts(ref: DataFrame, cur: DataFrame, profile: DataFrame, bins: int = PSI_BINS) -> DataFrame:
     """``|sum (c - r) ln(c / r)|`` over reference-range bins, zero share -> 1e-4."""
-    profile = profile if profile is not None else reference_profile(ref, features)
     edges = F.broadcast(psi_edges(profile))
 
-    def counts(df: DataFrame, side: str) -> DataFrame:
-        lf = long_form(df, features).where(F.col("value").isNotNull()).join(edges, "feature")
-        binned = lf.select("feature", bin_index("value", "lo", "hi", bins).alias("bin"))
-        tot = binned.groupBy("feature").agg(F.count(F.lit(1)).alias(f"n_{side}"))
-        per_bin = binned.where(F.col("bin").isNotNull()).groupBy("feature", "bin") \
-                        .agg(F.count(F.lit(1)).alias(f"c_{side}"))
-        return per_bin, tot
+    def counts(df: DataFrame, side: str) -> tuple[DataFrame, DataFrame]:
+        binned = (df.where(F.col("value").isNotNull()).join(edges, "feature")
+                    .select("feature", bin_index("value", "lo", "hi", bins).alias("bin"), "n"))
+        per_bin = binned.groupBy("feature", "bin").agg(F.sum("n").alias(f"c_{side}"))
+        return per_bin.where(F.col("bin").isNotNull()), per_bin.groupBy("feature").agg(F.sum(f"c_{side}").alias(f"n_{side}"))
 
     rb, rn = counts(ref, "ref")
     cb, cn = counts(cur, "cur")
@@ -112,6 +119,13 @@ def psi(ref: DataFrame, cur: DataFrame, features: list[str], profile: DataFrame
     return shares.groupBy("feature").agg(F.abs(F.sum(X.psi_term("r", "c"))).alias("psi_score"))
 
 
+def psi(ref: DataFrame, cur: DataFrame, features: list[str], profile: DataFrame | None = None,
+        bins: int = PSI_BINS) -> DataFrame:
+    """D2 of two tables of readings."""
+    profile = profile if profile is not None else reference_profile(ref, features)
+    return psi_from_counts(value_counts(ref, features), value_counts(cur, features), profile, bins)
+
+
 # --- D1/W5: two-sample KS -------------------------------------------------------
 
 def _kolmogorov_sf(lam):
@@ -123,15 +137,17 @@ def _kolmogorov_sf(lam):
 
 
 def ks_two_sample(ref: DataFrame, cur: DataFrame, features: list[str]) -> DataFrame:
+    """D1 of two tables of readings."""
+    return ks_from_counts(value_counts(ref, features), value_counts(cur, features))
+
+
+def ks_from_counts(ref: DataFrame, cur: DataFrame) -> DataFrame:
     """KS statistic ``max |F_ref - F_cur|`` per feature and an asymptotic p-value.
 
-    Values are first counted per (feature, value, side); empirical CDFs are
-    running sums over distinct values (skew-safe ``cumulative_sum``).
+    Empirical CDFs are running sums over distinct values (skew-safe ``cumulative_sum``).
     """
-    r = long_form(ref, features).where(F.col("value").isNotNull()) \
-        .select("feature", "value", F.lit(1).alias("cr"), F.lit(0).alias("cc"))
-    c = long_form(cur, features).where(F.col("value").isNotNull()) \
-        .select("feature", "value", F.lit(0).alias("cr"), F.lit(1).alias("cc"))
+    r = ref.where(F.col("value").isNotNull()).select("feature", "value", F.col("n").alias("cr"), F.lit(0).cast("long").alias("cc"))
+    c = cur.where(F.col("value").isNotNull()).select("feature", "value", F.lit(0).cast("long").alias("cr"), F.col("n").alias("cc"))
     per_val = r.unionByName(c).groupBy("feature", "value").agg(
         F.sum("cr").cast("long").alias("cr"), F.sum("cc").cast("long").alias("cc"))
     cum = cumulative_sum(per_val, ["feature"], ["value"], ["cr", "cc"])
@@ -151,22 +167,26 @@ def ks_two_sample(ref: DataFrame, cur: DataFrame, features: list[str]) -> DataFr
 
 def feature_drift(ref: DataFrame, cur: DataFrame, features: list[str] | None = None,
                   profile: DataFrame | None = None, with_ks: bool = True) -> DataFrame:
-    """D4 detail rows: KS, PSI, mean shift, means and the drift flag per feature.
+    """D4 detail rows of two tables of readings.
 
     Features missing from the profile or empty on either side are skipped.
     """
     features = features or [f for f in sensor_columns(cur.columns) if f in ref.columns]
     profile = profile if profile is not None else reference_profile(ref, features)
+    return feature_drift_from_counts(value_counts(ref, features), value_counts(cur, features), profile, with_ks)
+
+
+def feature_drift_from_counts(ref: DataFrame, cur: DataFrame, profile: DataFrame, with_ks: bool = True) -> DataFrame:
+    """D4 detail rows: KS, PSI, mean shift, means and the drift flag per feature."""
     prof = F.broadcast(profile.where(F.col("n") > 0)
                        .select("feature", F.col("mean").alias("reference_mean"),
                                F.coalesce(F.col("std"), F.lit(float("nan"))).alias("_ref_std")))
-    cur_stats = long_form(cur, features).groupBy("feature").agg(
-        F.avg("value").alias("current_mean"), F.count("value").alias("_n_cur"))
-    p = psi(ref, cur, features, profile)
-    out = (cur_stats.where(F.col("_n_cur") > 0).join(prof, "feature").join(p, "feature")
+    some = cur.where(F.col("value").isNotNull())
+    cur_stats = some.groupBy("feature").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("current_mean"))
+    out = (cur_stats.join(prof, "feature").join(psi_from_counts(ref, cur, profile), "feature")
            .withColumn("mean_drift", X.normalised_diff("current_mean", "reference_mean", "_ref_std")))
     if with_ks:
-        out = out.join(ks_two_sample(ref, cur, features), "feature")
+        out = out.join(ks_from_counts(ref, cur), "feature")
     else:
         out = out.withColumn("ks_statistic", F.lit(None).cast("double")) \
                  .withColumn("ks_p_value", F.lit(None).cast("double"))
@@ -179,16 +199,18 @@ def feature_drift(ref: DataFrame, cur: DataFrame, features: list[str] | None = N
 
 def quality_issues(cur: DataFrame, profile: DataFrame, tol: float = X.RANGE_TOLERANCE,
                    relative_to: str = "value") -> DataFrame:
+    """D5/D6 of a table of readings; features without a profile are skipped."""
+    return quality_issues_from_counts(value_counts(cur, sensor_columns(cur.columns)), profile, tol, relative_to)
+
+
+def quality_issues_from_counts(cur: DataFrame, profile: DataFrame, tol: float = X.RANGE_TOLERANCE,
+                               relative_to: str = "value") -> DataFrame:
     """Missing-rate change > 0.2 and current range outside the tolerance band.
 
     Rows: issue, reference array, current array, drift_detected (always true).
     """
-    known = [f for f in cur.columns if f in {r["feature"] for r in profile.select("feature").collect()}]
-    if not known:
-        return cur.sparkSession.createDataFrame(
-            [], "issue string, reference array<double>, current array<double>, drift_detected boolean")
-    stats = long_form(cur, known).groupBy("feature").agg(
-        F.avg(F.col("value").isNull().cast("double")).alias("cur_missing"),
+    stats = cur.groupBy("feature").agg(
+        (F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)) / F.sum("n")).alias("cur_missing"),
         F.min("value").alias("cur_min"), F.max("value").alias("cur_max"))
     j = stats.join(F.broadcast(profile), "feature")
     miss = j.where(F.abs(F.col("cur_missing") - F.col("missing_rate")) > X.MISSING_RATE_DRIFT).select(
@@ -247,28 +269,50 @@ def first_run_report(spark) -> DataFrame:
         "recommendation string, reason string")
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """A small table written to the shared folder and read back, so it is computed once."""
+    spark = df.sparkSession
+    path = shared_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def detect_drift(ref_profile: DataFrame | None, ref_fleet: DataFrame | None, ref: DataFrame | None,
-                 cur: DataFrame) -> dict[str, DataFrame]:
-    """D8 end to end: detail, issues, temporal, summary (or the first-run form)."""
-    if ref_profile is None:
+                 cur: DataFrame, ref_counts: DataFrame | None = None) -> dict[str, DataFrame]:
+    """D8 end to end: detail, issues, temporal, summary (or the first-run form).
+
+    The reference is its stored profile, fleet shape and value counts; ``ref`` rows are
+    only needed where the counts are not given. The current readings are scanned once for
+    their value counts and once for the fleet shape.
+    """
+    if ref_profile is None or (ref is None and ref_counts is None):
         return {"summary": first_run_report(cur.sparkSession)}
-    features = [r["feature"] for r in ref_profile.select("feature").collect()
-                if r["feature"] in cur.columns]
-    detail = feature_drift(ref, cur, features, ref_profile, with_ks=ref is not None) \
-        if ref is not None else None
-    issues = quality_issues(cur, ref_profile)
+    features = sensor_columns(cur.columns)
+    counts = materialise(value_counts(cur, features), "drift-counts")
+    if ref_counts is None:
+        ref_counts = materialise(value_counts(ref, [f for f in features if f in ref.columns]), "drift-counts")
+    detail = materialise(feature_drift_from_counts(ref_counts, counts, ref_profile), "drift-detail")
+    issues = quality_issues_from_counts(counts, ref_profile)
     temporal = temporal_drift(cur, ref_fleet)
     summary = drift_summary(detail, issues, temporal)
     return {"detail": detail, "issues": issues, "temporal": temporal, "summary": summary}
 
 
 def report_json(parts: dict[str, DataFrame]) -> DataFrame:
-    """The report as one JSON document (nested struct -> to_json)."""
+    """The report as one JSON document: summary, feature drifts, quality issues,
+    temporal drift and the thresholds used."""
     summary = parts["summary"]
-    cols = [F.current_timestamp().alias("timestamp"), F.struct(*summary.columns).alias("summary")]
-    doc = summary.select(*cols)
-    if "detail" in parts and parts["detail"] is not None:
-        det = parts["detail"].agg(F.map_from_entries(F.collect_list(F.struct(
-            "feature", F.struct(*[c for c in parts["detail"].columns if c != "feature"])))).alias("feature_drifts"))
-        doc = _one(doc).join(_one(det), "_k").drop("_k")
+    doc = summary.select(F.current_timestamp().alias("timestamp"), F.struct(*summary.columns).alias("summary"))
+    for key, name in (("detail", "feature_drifts"), ("issues", "quality_drifts")):
+        if parts.get(key) is not None:
+            df, by = parts[key], "feature" if key == "detail" else "issue"
+            one = df.agg(F.map_from_entries(F.collect_list(F.struct(
+                by, F.struct(*[c for c in df.columns if c != by])))).alias(name))
+            doc = _one(doc).join(_one(one), "_k").drop("_k")
+    if parts.get("temporal") is not None:
+        t = parts["temporal"]
+        doc = _one(doc).join(_one(t.select(F.struct(*t.columns).alias("temporal_drift"))), "_k").drop("_k")
+        doc = doc.withColumn("thresholds", F.create_map(
+            F.lit("psi"), F.lit(X.PSI_DRIFT), F.lit("mean_shift"), F.lit(X.MEAN_SHIFT_DRIFT),
+            F.lit("missing_rate"), F.lit(X.MISSING_RATE_DRIFT), F.lit("life_length"), F.lit(X.LIFE_LENGTH_DRIFT)))
     return doc.select(F.to_json(F.struct(*doc.columns)).alias("report"))

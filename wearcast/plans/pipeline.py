@@ -20,6 +20,7 @@ from ..operators.evaluate import evaluation_metrics, prediction_table
 from ..operators.features import join_feature_sets
 from ..operators.label import true_rul
 from ..operators.quality import MetricsTable, ingestion_quality
+from ..schema import sensor_columns
 from ..sinks.tables import load_reference, save_reference, write_report, write_table
 
 
@@ -39,7 +40,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def build_reference(train: DataFrame, workdir: str) -> None:
     """Stage 7: profile and fleet shape of the training table."""
-    save_reference(D.reference_profile(train), D.fleet_shape(train), _at(workdir, "reference"))
+    save_reference(D.reference_profile(train), D.fleet_shape(train), D.value_counts(train, sensor_columns(train.columns)), _at(workdir, "reference"))
 
 
 def drift_stage(spark: SparkSession, train: DataFrame | None, test: DataFrame, workdir: str) -> dict:
@@ -48,7 +49,7 @@ def drift_stage(spark: SparkSession, train: DataFrame | None, test: DataFrame, w
     if ref is None:
         parts = D.detect_drift(None, None, None, test)
     else:
-        parts = D.detect_drift(ref[0], ref[1], train, test)
+        parts = D.detect_drift(ref[0], ref[1], None, test, ref_counts=ref[2])
     write_report(parts, _at(workdir, "drift_report"))
     return parts
 

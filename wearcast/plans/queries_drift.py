@@ -219,5 +219,6 @@ FROM agg""")
 def q_summary(spark, sf):
     ref, cur = _split(spark, sf, nulls=True)
     prof = D.reference_profile(ref, FEATS)
-    parts = D.detect_drift(prof, D.fleet_shape(ref), ref, cur)
+    # from the stored form alone: profile, fleet shape and value counts
+    parts = D.detect_drift(prof, D.fleet_shape(ref), None, cur, ref_counts=D.value_counts(ref, FEATS))
     return _r(parts["summary"])

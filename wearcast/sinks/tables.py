@@ -30,14 +30,16 @@ def write_report(parts: dict[str, DataFrame], path: str) -> str:
     return path
 
 
-def save_reference(profile: DataFrame, fleet: DataFrame, path: str) -> str:
-    """K5: reference profile (per feature) and fleet shape (one row)."""
+def save_reference(profile: DataFrame, fleet: DataFrame, counts: DataFrame, path: str) -> str:
+    """K5: reference profile (per feature), fleet shape (one row) and value counts,
+    from which PSI bins and KS follow without the reference rows."""
+    counts.write.mode("overwrite").parquet(os.path.join(path, "counts"))
     profile.write.mode("overwrite").parquet(os.path.join(path, "profile"))
     fleet.write.mode("overwrite").parquet(os.path.join(path, "fleet"))
     return path
 
 
-def load_reference(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame] | None:
+def load_reference(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame] | None:
     """The stored reference, or None when it does not exist (first run).
 
     Only a missing path maps to first-run; other read errors propagate.
@@ -45,8 +47,9 @@ def load_reference(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     try:
         prof = spark.read.parquet(os.path.join(path, "profile"))
         fleet = spark.read.parquet(os.path.join(path, "fleet"))
+        counts = spark.read.parquet(os.path.join(path, "counts"))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return None
         raise
-    return prof, fleet
+    return prof, fleet, counts
