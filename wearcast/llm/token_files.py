@@ -2,13 +2,14 @@
 
 Files under ``path`` (a folder all executors share):
 
-* ``shard-00000.ids``: little-endian ids (``ID_BYTES`` each) of documents in ascending
-  doc_id order, each with its end id; shard numbers follow the key order;
+* ``shard-00000.ids``: little-endian ids of documents in ascending doc_id order, each with
+  its end id, two bytes an id where the vocabulary allows, else four; shard numbers follow
+  the key order;
 * ``index-00000.mph``: keys with ``bucket(key) == number``. A minimal perfect hash
-  (hash and displace) maps a key to a slot; a slot stores the key's fingerprint,
-  shard, first id and number of ids. A look-up is one hash, one displacement and one
-  slot whatever the number of documents, and a key that was not stored is refused by
-  its fingerprint (64 bits, independent of the slot hash).
+  (levels of bit arrays) maps a key to a slot; a slot stores the key's fingerprint,
+  shard, first id and number of documents. A look-up takes a few hashes and one slot
+  whatever the number of documents, and a key that was not stored is refused by its
+  fingerprint (64 bits, independent of the slot hash).
 
 Writing: one range shuffle on (doc_id, text hash), then each task streams its sorted
 rows through the tokenizer into one shard; index buckets are hash partitions of the
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from . import common as C
 from . import tokens as T
 
-ID_BYTES, END_ID = 4, 0
+END_ID = 0
 NULL_KEY = np.iinfo(np.int64).max
 SHARD_CHARS, INDEX_KEYS = 64_000_000, 50_000
 PLACES = "key long, nth int, shard int, first long, n_tokens int"
@@ -50,44 +51,41 @@ def mix(x: np.ndarray, seed: int | np.ndarray) -> np.ndarray:
 
 
 class PerfectHash:
-    """Minimal perfect hash of distinct int64 keys: ``displace`` per small bucket, slots 0 to n - 1."""
+    """Minimal perfect hash of distinct int64 keys, slots 0 to n - 1, by levels of bit arrays.
 
-    def __init__(self, n: int, displace: np.ndarray):
-        self.n, self.displace = n, displace
+    On each level the remaining keys are hashed into twice as many bits; a key alone on its
+    bit stays there, the others go to the next level. A key's slot is the number of set bits
+    before its own, so a look-up takes the same few steps whatever the number of keys.
+    """
+
+    def __init__(self, sizes: np.ndarray, bits: np.ndarray):
+        self.sizes, self.bits = sizes.astype(np.int64), bits
+        self.rank = np.concatenate([[0], np.cumsum(bits)]).astype(np.int64)
+        self.n = int(self.rank[-1])
 
     @staticmethod
     def build(keys: np.ndarray) -> "PerfectHash":
-        n = len(keys)
-        m = max(1, -(-n // 4))
-        displace, used = np.zeros(m, np.uint32), np.zeros(max(n, 1), bool)
-        if not n:
-            return PerfectHash(0, displace)
-        group = (mix(keys, 1) % np.uint64(m)).astype(np.int64)
-        order = np.argsort(group, kind="stable")
-        size = np.bincount(group, minlength=m)
-        first = np.cumsum(size) - size
-        for g in np.argsort(-size, kind="stable").tolist():  # largest buckets first
-            if not size[g]:
-                break
-            mine = keys[order[first[g]:first[g] + size[g]]]
-            for d in range(1 << 31):
-                slot = (mix(mine, d + 2) % np.uint64(n)).astype(np.int64)
-                if not used[slot].any() and (len(slot) == 1 or len(set(slot.tolist())) == len(slot)):
-                    used[slot], displace[g] = True, d
-                    break
-                if size[g] == 1 and d > 64:  # a single key takes any free slot; its number is stored
-                    free = int(np.flatnonzero(~used)[0])
-                    used[free], displace[g] = True, (1 << 31) | free
-                    break
-        return PerfectHash(n, displace)
+        rest, sizes, bits = keys, [], []
+        while len(rest):
+            m = max(64, 2 * len(rest))
+            at = (mix(rest, len(sizes) + 2) % np.uint64(m)).astype(np.int64)
+            alone = np.bincount(at, minlength=m) == 1
+            sizes.append(m)
+            bits.append(alone)
+            rest = rest[~alone[at]]
+        return PerfectHash(np.array(sizes, np.int64), np.concatenate(bits) if bits else np.zeros(0, bool))
 
     def slot(self, keys: np.ndarray) -> np.ndarray:
-        if not self.n:
-            return np.full(len(keys), -1, np.int64)
-        d = self.displace[(mix(keys, 1) % np.uint64(len(self.displace))).astype(np.int64)]
-        out = np.where(d >> 31, d & np.uint32((1 << 31) - 1), 0).astype(np.int64)
-        rows = d < (1 << 31)
-        out[rows] = (mix(keys[rows], d[rows].astype(np.uint64) + np.uint64(2)) % np.uint64(self.n)).astype(np.int64)
+        """Slot of each key; a key that was not built in gets any slot or -1."""
+        out = np.full(len(keys), -1, np.int64)
+        left, base = np.arange(len(keys)), 0
+        for level, m in enumerate(self.sizes.tolist()):
+            if not len(left):
+                break
+            at = base + (mix(keys[left], level + 2) % np.uint64(m)).astype(np.int64)
+            hit = self.bits[at]
+            out[left[hit]] = self.rank[at[hit]]
+            left, base = left[~hit], base + m
         return out
 
 
@@ -100,18 +98,18 @@ def fingerprint(keys: np.ndarray) -> np.ndarray:
 
 
 SLOT = np.dtype([("print", "<u8"), ("shard", "<u4"), ("docs", "<u4"), ("first", "<u8"), ("at", "<u8")])
-HEAD = np.dtype([("magic", "S8"), ("keys", "<u8"), ("groups", "<u8"), ("lengths", "<u8")])
+HEAD = np.dtype([("magic", "S8"), ("keys", "<u8"), ("levels", "<u8"), ("lengths", "<u8")])
 
 
 def index_bytes(keys: np.ndarray, shard: np.ndarray, first: np.ndarray, docs: np.ndarray, lengths: np.ndarray, at: np.ndarray) -> bytes:
-    """File form of one index bucket: head, displacements, slots, and the lengths of each key's documents."""
+    """File form of one index bucket: head, level sizes, level bits, slots, and the lengths of each key's documents."""
     mph = PerfectHash.build(keys)
     slots = np.zeros(len(keys), SLOT)
     s = mph.slot(keys)
     slots["print"][s], slots["shard"][s], slots["first"][s] = fingerprint(keys), shard, first
     slots["docs"][s], slots["at"][s] = docs, at
-    head = np.array([(b"TOKMPH1", len(keys), len(mph.displace), len(lengths))], HEAD)
-    return head.tobytes() + mph.displace.astype("<u4").tobytes() + slots.tobytes() + lengths.astype("<u4").tobytes()
+    head = np.array([(b"TOKMPH1", len(keys), len(mph.sizes), len(lengths))], HEAD)
+    return head.tobytes() + mph.sizes.astype("<u8").tobytes() + np.packbits(mph.bits).tobytes() + slots.tobytes() + lengths.astype("<u4").tobytes()
 
 
 class Index:
@@ -121,17 +119,22 @@ class Index:
         head = np.frombuffer(raw, HEAD, 1)[0]
         if head["magic"] != b"TOKMPH1":
             raise ValueError("not an index bucket")
-        k, g, at = int(head["keys"]), int(head["groups"]), HEAD.itemsize
-        self.mph = PerfectHash(k, np.frombuffer(raw, "<u4", g, at))
-        self.slots = np.frombuffer(raw, SLOT, k, at + 4 * g)
-        self.lengths = np.frombuffer(raw, "<u4", int(head["lengths"]), at + 4 * g + SLOT.itemsize * k)
+        k, at = int(head["keys"]), HEAD.itemsize
+        sizes = np.frombuffer(raw, "<u8", int(head["levels"]), at)
+        at += 8 * len(sizes)
+        total = int(sizes.sum())
+        packed = np.frombuffer(raw, np.uint8, -(-total // 8), at)
+        at += len(packed)
+        self.mph = PerfectHash(sizes, np.unpackbits(packed, count=total).astype(bool))
+        self.slots = np.frombuffer(raw, SLOT, k, at)
+        self.lengths = np.frombuffer(raw, "<u4", int(head["lengths"]), at + SLOT.itemsize * k)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Slot of each key, -1 where its fingerprint differs."""
         s = self.mph.slot(keys)
         if not self.mph.n:
             return s
-        return np.where(self.slots["print"][s] == fingerprint(keys), s, -1)
+        return np.where((s >= 0) & (self.slots["print"][s] == fingerprint(keys)), s, -1)
 
 
 def _put(path: str, name: str, raw) -> None:
@@ -157,6 +160,7 @@ def write(docs: DataFrame, path: str, end_id: int = END_ID, vocabulary: str | No
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-total // SHARD_CHARS))
     fs, base = C.shared_fs(path)
     fs.create_dir(base, recursive=True)
+    width = 2 if T.encoder(vocabulary).small and end_id < 65536 else 4
 
     def shard_task(batches):
         from pyspark import TaskContext
@@ -165,13 +169,13 @@ def write(docs: DataFrame, path: str, end_id: int = END_ID, vocabulary: str | No
         fs, base = C.shared_fs(path)
         name, out, tmp = f"shard-{shard:05d}.ids", None, None
         last, nth = None, 0
-        for b in C.slices(batches, limit=2 * C.SLICE_BYTES):
+        for b in C.slices(batches):
             if out is None:
                 tmp = f"{base}/.{name}.{uuid.uuid4().hex}"
                 out = fs.open_output_stream(tmp)
             flat, off = T.encoder(vocabulary).encode(C.column(b, "text"))
             n = np.diff(off) + 1
-            out.write(np.insert(flat, off[1:], end_id).astype("<u4").tobytes())
+            out.write(np.insert(flat, off[1:], end_id).astype(f"<u{width}").tobytes())
             keys = C.column(b, "key").to_numpy()
             which = np.zeros(len(keys), np.int32)
             for i in range(len(keys)):  # rows of one key follow each other
@@ -214,7 +218,7 @@ def write(docs: DataFrame, path: str, end_id: int = END_ID, vocabulary: str | No
                 .applyInPandas(index_task, "bucket int, keys long").agg(F.sum("keys")).first()[0])
         if not made:
             raise RuntimeError("no index written")
-    return {"path": path, "bases": bases, "buckets": buckets, "documents": n_docs}
+    return {"path": path, "id_bytes": width, "bases": bases, "buckets": buckets, "documents": n_docs}
 
 
 def locate(keys: DataFrame, manifest: dict) -> DataFrame:
@@ -251,11 +255,11 @@ def locate(keys: DataFrame, manifest: dict) -> DataFrame:
 
 
 def read(keys: DataFrame, manifest: dict, gap: int = 1 << 16, most: int = 8 << 20) -> DataFrame:
-    """Documents of the keys from the files: key, nth, start (ids of all documents before), n_tokens, ids.
+    """Documents of the keys from the files: key, nth, start (ids of all documents before), n_tokens, ids (4 bytes each).
 
     Entries are dealt by shard and a block of its ids, sorted, and near ranges are read together.
     """
-    path, bases = manifest["path"], manifest["bases"]
+    path, bases, width = manifest["path"], manifest["bases"], manifest["id_bytes"]
     base = keys.sparkSession.sparkContext.broadcast(bases)
 
     def fetch(batches):
@@ -267,16 +271,15 @@ def read(keys: DataFrame, manifest: dict, gap: int = 1 << 16, most: int = 8 << 2
             parts = []
             for i, j in zip(cut[:-1], cut[1:]):
                 while i < j:
-                    k = max(i + 1, i + int(np.searchsorted((first + n)[i:j] - first[i], most // ID_BYTES, "right")))
+                    k = max(i + 1, i + int(np.searchsorted((first + n)[i:j] - first[i], most // width, "right")))
                     parts.append((i, k))
                     i = k
             for i, j in parts:
                 if opened != shard[i]:
                     opened, f = shard[i], fs.open_input_file(f"{root}/shard-{shard[i]:05d}.ids")
-                f.seek(int(first[i]) * ID_BYTES)
-                raw = f.read(int(first[j - 1] + n[j - 1] - first[i]) * ID_BYTES)
-                at = (first[i:j] - first[i]) * ID_BYTES
-                ids = [raw[a:a + m * ID_BYTES] for a, m in zip(at.tolist(), n[i:j].tolist())]
+                f.seek(int(first[i]) * width)
+                raw = np.frombuffer(f.read(int(first[j - 1] + n[j - 1] - first[i]) * width), f"<u{width}").astype("<u4")
+                ids = [raw[a:a + m].tobytes() for a, m in zip((first[i:j] - first[i]).tolist(), n[i:j].tolist())]
                 part = b.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays(
                     [C.column(part, "key"), C.column(part, "nth"), pa.array(first[i:j] + base.value[int(shard[i])]), C.column(part, "n_tokens"), pa.array(ids, pa.binary())],
