@@ -6,8 +6,8 @@ integers, months and hours of timestamps, exponent and mantissa bits of doubles)
 nothing has to be sampled or measured first:
 
 1. rows are counted (or summed) per (group, finest bucket), a partial aggregate;
-2. each bucket's offset is the sum of the buckets before it, found level by level: a
-   window over the siblings of one parent bucket plus the parent's own offset;
+2. each bucket's offset is the sum of the buckets of its group before it (without a
+   group: level by level, a window over the siblings of one parent plus its offset);
 3. the offsets join the rows as one marker row per bucket, and a window over
    (group, bucket) numbers the rows behind their marker.
 
@@ -77,7 +77,14 @@ def _null_safe(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
 
 
 def _offsets(buckets: DataFrame, by: list[str], levels: list[str], sums: list[str]) -> DataFrame:
-    """Sum of ``sums`` over all earlier buckets of the group, for every bucket."""
+    """Sum of ``sums`` over all earlier buckets of the group, for every bucket.
+
+    A group's buckets are thousands of times fewer than its rows and take one window;
+    without a group the levels are added up one by one, so no task sees all buckets.
+    """
+    if by:
+        before = Window.partitionBy(*by).orderBy(*levels).rowsBetween(Window.unboundedPreceding, -1)
+        return buckets.select(*by, *levels, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in sums])
     parents = by + levels[:-1]
     before = Window.partitionBy(*parents).orderBy(levels[-1]).rowsBetween(Window.unboundedPreceding, -1)
     here = buckets.select(*parents, levels[-1], *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in sums])
