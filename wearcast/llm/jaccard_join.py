@@ -7,14 +7,16 @@ components they form.
   pair has an equal part; a document is entered under a signature of each of its parts
   (and, near the border of a size class, of the parts it has in the joint class). Parts are
   several shingles wide, so a frequent shingle or passage alone routes nothing.
-* T-occurrence search. Within a signature's group the smallest document is the query and
-  the members are searched by DivideSkip: inverted lists over the query's shingles, the
-  short ones merged and counted, the long ones probed by binary search for documents that
-  can still reach the overlap T. Groups are cut into salted pieces of ``PIECE`` members.
-* Rounds. After each round linked documents share a component. A group is only open while
-  it holds several components; open groups get further query documents (1, 5, 21, ...), each
-  against members of other components. A group of mutual near-copies closes after one round,
-  so pairs within it are never listed, and no pair of different components is left out.
+* First round. Every document is searched against the smallest document that shares a part
+  with it, which links most groups of near-copies to one component each.
+* Second round. Signature groups that still hold several components are joined to blocks
+  (components over "shares a part"). A block is cut into chunks of bounded shingle count in
+  component order, and every pair of chunks with different components is one task. Inside a
+  task the T-occurrence search runs over the block's inverted lists, rarest shingles first:
+  the short lists that one of any T common shingles must be in are merged, the others
+  (long) are only probed for the documents found, and documents of one component are never
+  compared. Chunks inside one component are never paired, so a large
+  group of mutual near-copies stays linear, and no pair of different components is left out.
 
 Links and components stay distributed (alternating large-star and small-star steps).
 
@@ -30,13 +32,16 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.sequence import cumulative_sum
 from . import common as C
 
 WIDTH, PERCENT = 3, 90
 PIECE, BROADCAST_IDS = 256, 1_000_000
+#: Shingles of one chunk of a block (8 bytes each); a task holds two chunks.
+CHUNK_SHINGLES = 2_000_000
 SKETCH = "doc_id long, text_key long, n_shingles long, k1 long, k2 long, sigs array<long>"
 
 
@@ -226,6 +231,81 @@ def verify(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return members.unionByName(queries).groupBy("root", "salt").applyInPandas(search, "node long, root long")
 
 
+def search_block(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links between documents of different labels that merge them: T-occurrence search over the block.
+
+    ``side`` is 0 for all documents if every pair counts, else 0 and 1: only pairs of both sides.
+    """
+    n = len(sets)
+    size = np.array([len(x) for x in sets], np.int64)
+    owner = np.repeat(np.arange(n), size)
+    _, token, many = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.lexsort((token, many[token], owner))  # each document's shingles, shortest lists first
+    begin = np.cumsum(size) - size
+    need = -(-percent * size // 100)  # least overlap with any partner
+    keep = np.arange(len(order)) - np.repeat(begin, size) < np.repeat(size - need + 1, size)
+    at, who = token[order][keep], owner[order][keep]  # entries of the short lists
+    by = np.argsort(at, kind="stable")
+    lists, members = at[by], who[by]
+    first, last = np.searchsorted(lists, at, "left"), np.searchsorted(lists, at, "right")
+    entry = np.searchsorted(who, np.arange(n + 1))
+    label, links, mark = label.copy(), [], np.zeros(len(many), bool)
+    for d in range(n):
+        spans = [(a, b) for a, b in zip(first[entry[d]:entry[d + 1]], last[entry[d]:entry[d + 1]]) if b - a > 1]
+        if not spans:
+            continue
+        found = np.unique(np.concatenate([members[a:b] for a, b in spans]))
+        found = found[found < d]
+        if side.any():
+            found = found[side[found] != side[d]]
+        both = size[found] + size[d]
+        found = found[(100 * np.minimum(size[found], size[d]) >= percent * np.maximum(size[found], size[d])) & (both > 0)]
+        mark[token[begin[d]:begin[d] + size[d]]] = True
+        batch = 32
+        while True:
+            found = found[label[found] != label[d]]
+            if not len(found):
+                break
+            some, found, batch = found[:batch], found[batch:], 1024
+            # the long lists are probed for the documents found: which of their shingles does the query have
+            lens = size[some]
+            stop = np.cumsum(lens)
+            has = mark[token[np.arange(stop[-1]) + np.repeat(begin[some] - stop + lens, lens)]]
+            overlap = np.add.reduceat(has, stop - lens, dtype=np.int64)
+            for c in some[(100 + percent) * overlap >= percent * (lens + size[d])].tolist():
+                if label[c] != label[d]:
+                    links.append((d, c))
+                    label[label == max(label[c], label[d])] = min(label[c], label[d])
+        mark[token[begin[d]:begin[d] + size[d]]] = False
+    return links
+
+
+def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, root) links that merge components inside blocks; ``members`` holds (block, node, label)."""
+    sized = members.join(sets.groupBy("node").agg(F.max(F.octet_length("tokens")).alias("w")), "node")
+    summed = cumulative_sum(sized.select("block", "label", "node", (F.col("w") / 8).cast("long").alias("w")), ["block"], ["label", "node"], ["w"])
+    chunked = C.stored(summed.select("block", "node", "label", F.floor((F.col("w_cum") - F.col("w")) / CHUNK_SHINGLES).cast("int").alias("chunk")), "chunks")
+    chunks = chunked.groupBy("block", "chunk").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    other = chunks.select("block", F.col("chunk").alias("chunk2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
+    # one row per pair of chunks, never of documents
+    pairs = (chunks.join(other, "block").where("chunk <= chunk2").where("not (low = high and low2 = high2 and low = low2)")
+             .select("block", "chunk", "chunk2"))
+    tasks = pairs.select("block", "chunk", "chunk2", F.explode(F.when(F.col("chunk") == F.col("chunk2"), F.array("chunk")).otherwise(F.array("chunk", "chunk2"))).alias("part"))
+    rows = tasks.join(chunked.withColumnRenamed("chunk", "part"), ["block", "part"]).join(sets, "node")
+
+    def search(pdf):
+        import pandas as pd
+
+        pdf = pdf.sort_values(["label", "node"], kind="stable")
+        nodes = pdf["node"].to_numpy()
+        side = (pdf["part"] == pdf["chunk2"]).to_numpy(np.int64) if (pdf["chunk"] != pdf["chunk2"]).any() else np.zeros(len(pdf), np.int64)
+        links = search_block([np.frombuffer(x, "<u8") for x in pdf["tokens"]], pdf["label"].to_numpy(), side, percent)
+        return pd.DataFrame({"node": [nodes[max(a, b, key=lambda i: nodes[i])] for a, b in links],
+                             "root": [nodes[min(a, b, key=lambda i: nodes[i])] for a, b in links]}, dtype="int64")
+
+    return rows.groupBy("block", "chunk", "chunk2").applyInPandas(search, "node long, root long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node that edges (node, root) lead to, for every node with an edge."""
 
@@ -271,25 +351,19 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     # documents whose rows are in several classes
     twice = real.join(classes, ["k1", "k2"]).groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.collect_set("rep").alias("r")).where("a < b")
     links = C.stored(twice.select(F.explode("r").alias("node"), F.col("a").alias("root")).where("node != root"), "links")
-    tested = C.stored(open_.where("least < node").groupBy("node").agg(F.min("least").alias("root")), "tested")
-    todo, used = tested, 0
-    while True:
-        links = links.unionByName(C.stored(verify(todo, sets, percent), "links"))
+    nearest = C.stored(open_.where("least < node").groupBy("node").agg(F.min("least").alias("root")), "nearest")
+    links = links.unionByName(C.stored(verify(nearest, sets, percent), "links"))
+    labels = components(links)
+    # signature groups that hold several components still
+    state = open_.join(labels, "node", "left").select("sig", "node", F.coalesce("label", "node").alias("label"))
+    mixed = state.groupBy("sig").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.min("node").alias("least")).where("a < b").select("sig", "least")
+    live = C.stored(state.join(mixed, "sig").select("node", "label", "least").distinct(), "open")
+    if live.take(1):
+        blocks = components(live.select("node", F.col("least").alias("root")))
+        members = (live.select("node", "label").distinct().join(blocks.withColumnRenamed("label", "block"), "node", "left")
+                   .select(F.coalesce("block", "node").alias("block"), "node", "label"))
+        links = links.unionByName(C.stored(block_links(C.stored(members, "blocks"), sets, percent), "links"))
         labels = components(links)
-        state = open_.join(labels, "node", "left").select("sig", "node", F.coalesce("label", "node").alias("label"))
-        # of groups with several components, the members behind the query documents used so far
-        mixed = (state.groupBy("sig").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("n"))
-                 .where("a < b").where(F.col("n") > used + 1))
-        live = C.stored(state.join(mixed.select("sig"), "sig"), "open")
-        more = 4 * used + 1
-        ranked = live.withColumn("rank", F.row_number().over(Window.partitionBy("sig").orderBy("node")))
-        pivots = ranked.where((F.col("rank") > used) & (F.col("rank") <= more)).select("sig", F.col("node").alias("root"), F.col("label").alias("root_label"))
-        pairs = live.join(pivots, "sig").where("label != root_label and root < node").select("node", "root").distinct()
-        todo = C.stored(pairs.join(tested, ["node", "root"], "left_anti"), "pairs")
-        used = more
-        if not live.take(1):
-            break
-        tested = tested.unionByName(todo)
     out = rows.join(classes, ["k1", "k2"], "left").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     inside = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     return out.select("doc_id", "text_key", "n_shingles", F.when(inside, F.coalesce("label", "rep")).otherwise(F.col("doc_id")).alias("component_id"))
