@@ -199,6 +199,32 @@ def test_bad_templates_are_rejected(spark):
     assert out[1]["template"] != out[0]["template"] and "{n}" not in out[500]["template"]
 
 
+def test_sections_split_whatever_the_host_and_depth(spark):
+    deep = "a/b/c/d/e/f/g/" + "h/" * 40
+    urls = [f"http://hot.net/main/{i}" for i in range(3000)] + [f"http://hot.net/small/{i}" for i in range(40)]       # 1.3 % of the host
+    bad = set(range(3000, 3040))
+    for i in range(60):                                                                                                 # 60 equal sections
+        for j in range(8):
+            bad |= {len(urls)} if i % 2 else set()
+            urls.append(f"http://many.net/s{chr(97 + i // 26)}{chr(97 + i % 26)}/{j}")
+    for i in range(60):
+        bad |= {len(urls)} if i % 2 else set()
+        urls.append(f"http://deep.net/{deep}{'bad' if i % 2 else 'good'}/{i}")
+    nested = len(urls)
+    for i in range(240):                                                                                                # a split below a merged level and a split
+        section, page = ("x", "y")[i % 2], ("p", "q")[i // 2 % 2]
+        bad |= {len(urls)} if section == "x" or page == "p" else set()
+        urls.append(f"http://nest.net/{'uvw'[i % 3]}/{section}/m/{page}/{i}")
+    urls += ["http://nest.net/u", "http://nest.net/u/x", "http://nest.net/u/zz/m/p"]
+    d = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(3)
+    m = spark.createDataFrame([(i, 0 if i in bad else 1) for i in range(nested + 240)], "doc_id long, quality int")
+    out = {r["page_id"]: r for r in url_filters.judge(d, m).collect()}
+    assert len(out) == len(urls)
+    assert [i for i in range(nested + 240) if (out[i]["verdict"] == "block") != (i in bad)] == []
+    assert out[nested]["template"] == "/*/x/*/*/*" and out[nested + 1]["template"] == "/*/y/*/p/*" and out[nested + 3]["template"] == "/*/y/*/q/*"
+    assert [out[nested + 240 + i]["template"] for i in range(2)] == ["/*", "/*/x"]
+
+
 def test_pipeline_stages(spark, labels, tmp_path):
     import corpus_pipeline as P
 
