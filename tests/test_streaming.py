@@ -1,6 +1,7 @@
 """ST1 equals the batch operators; unordered chunks, late rows, nulls and all windows of ST2."""
 
 import math
+import os
 import uuid
 
 import numpy as np
@@ -10,10 +11,13 @@ from pyspark.sql import functions as F
 
 from wearcast.operators.features import extract_features, short_features
 from wearcast.operators.rebase import rebase
+from wearcast.plans import queries_stream
 from wearcast.session import shared_path
+from wearcast.sources.telemetry import events_telemetry
 from wearcast.streaming.drift_stream import run_to_table, run_updates
-from wearcast.streaming.unit_state import make_updater, stream_unit_features
+from wearcast.streaming.unit_state import arrival_range, make_updater, stream_unit_features
 
+SF = "/root/testdata/sf0.001"
 SCHEMA = "unit_id long, time_cycles long, sensor_1 double, sensor_2 double"
 
 
@@ -91,6 +95,31 @@ def test_unordered_chunks_and_nulls():
     assert not list(update((1,), iter([]), one)) and one.removed
 
 
+def test_registered_replay_carries_state(spark, monkeypatch):
+    seen, stopped = [], []
+
+    def run(df, path, checkpoint):
+        out = run_to_table(df, path, checkpoint)
+        seen.append(checkpoint)
+        stopped.append(out.count())
+        return out
+
+    monkeypatch.setattr(queries_stream, "run_to_table", run)
+    got = queries_stream.q_st1(spark, SF).collect()
+    batches = [f for f in os.listdir(os.path.join(seen[0], "commits")) if f.isdigit()]
+    assert len(set(seen)) == 1 and len(batches) == len(seen) == 3 and stopped[0] < stopped[1] < stopped[2] == len(got)
+    tel = events_telemetry(spark, SF)
+    want = {(r["unit_id"], r["time_cycles"]) for r in extract_features(rebase(tel, ["sensor_1"]), ["sensor_1"], 20, {"mean": None}).collect()}
+    assert {(r["unit_id"], r["time_cycles"]) for r in got} == want and {r["late_rows"] for r in got} == {0}
+
+
+def test_arrival_ranges_bound_a_unit(spark):
+    r = [(x["id"], x["r"]) for x in spark.range(1, 300_000).select("id", arrival_range(F.col("id")).alias("r")).orderBy("id").collect()]
+    assert all(b - a in (0, 1) for (_, a), (_, b) in zip(r, r[1:])) and r[0][1] == 0
+    many = pd.Series([b for _, b in r]).value_counts()
+    assert many.max() == 1 << 16 and many[0] == 31 and many[1] == 32
+
+
 def test_updates_keep_last_version(spark):
     tag = uuid.uuid4().hex[:8]
     src = shared_path(spark, f"t-upd-{tag}")

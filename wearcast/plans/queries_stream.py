@@ -14,9 +14,9 @@ from ..operators.label import add_rul
 from ..schema import CYCLE, RUL, RUL_CAP
 from ..session import shared_path
 from ..sources.telemetry import events_telemetry, read_table
-from ..streaming.drift_stream import (events_sensor_stream, reference_bin_shares, replay_events,
-                                      run_to_table, run_updates, window_verdicts, windowed_counts)
-from ..streaming.unit_state import stream_unit_features
+from ..streaming.drift_stream import (events_sensor_stream, reference_bin_shares, replay, replay_events,
+                                      run_to_table, run_updates, staged, window_verdicts, windowed_counts)
+from ..streaming.unit_state import arrival_range, stream_unit_features
 from .oracle_sql import TEL_EVENTS, rebased
 from .queries_drift import BIN, SPLIT
 from .registry import query
@@ -42,12 +42,15 @@ FROM w, fit WHERE n = 20""")
 def q_st1(spark, sf):
     tel = events_telemetry(spark, sf)
     tag = uuid.uuid4().hex[:8]
-    src = shared_path(spark, f"st1-src-{tag}")
-    tel.write.parquet(src)   # the replay's files
+    tel = staged(tel.withColumn("_range", arrival_range(F.col(CYCLE))), "_range", shared_path(spark, f"st1-staged-{tag}"))
     a, b = cycle_model(tel)
-    stream = spark.readStream.schema(tel.schema).parquet(src)
-    feats = stream_unit_features(stream, SENS, predict=lambda out: a + b * out[CYCLE])
-    out = run_to_table(feats, shared_path(spark, f"st1-out-{tag}"), shared_path(spark, f"st1-ckpt-{tag}"))
+    src, table, ckpt = (shared_path(spark, f"st1-{d}-{tag}") for d in ("src", "out", "ckpt"))
+
+    def trigger():
+        stream = spark.readStream.schema(tel.drop("_range").schema).parquet(src)
+        return run_to_table(stream_unit_features(stream, SENS, predict=lambda out: a + b * out[CYCLE]), table, ckpt)
+
+    out = replay(tel, "_range", src, trigger)
     return out.select(*[F.round(c, 6).alias(c) if t == "double" else c for c, t in out.dtypes])
 
 

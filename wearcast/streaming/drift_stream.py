@@ -11,6 +11,8 @@ computed from that table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,6 +93,26 @@ def reference_bin_shares(ref: DataFrame, profile: DataFrame, features: list[str]
                 .select("feature", "bin", (F.coalesce(F.col("k"), F.lit(0)) / F.col("t")).alias("r")))
 
 
+def staged(df: DataFrame, part: str, folder: str) -> DataFrame:
+    """``df`` written in one job as one folder per value of ``part``, whatever share of the rows a value has."""
+    df.hint("rebalance", part).write.partitionBy(part).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def replay(parts: DataFrame, part: str, folder: str, trigger: Callable[[], DataFrame]) -> DataFrame:
+    """Append the parts of a ``staged`` table to the stream's ``folder`` in ascending order and run ``trigger`` after each
+    (it starts the stream: the folder is there from the first part on).
+
+    A trigger finds one part and no more, whatever time stamps the store gives to files and in
+    whatever order it lists them; state goes on from the trigger's checkpoint. Returns the last result.
+    """
+    values = [r[0] for r in parts.select(part).distinct().collect()]
+    for v in sorted(values, key=lambda v: (v is not None, v)) or [None]:   # an empty table is one empty part
+        parts.where(F.col(part).eqNullSafe(v)).drop(part).write.mode("append").parquet(folder)
+        out = trigger()
+    return out
+
+
 def run_to_table(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Drive an append plan over all available input into a Parquet table."""
     q = (df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)

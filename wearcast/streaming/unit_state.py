@@ -4,7 +4,7 @@ State per unit (``applyInPandasWithState``): per sensor the sum and the count of
 non-null baseline values (cycles up to ``n_first``; the baseline is frozen at the first
 later cycle), the last cycle seen, the last ``long - 1`` re-based rows and the number of
 late rows. All rows of a unit's micro-batch are sorted together, whatever chunks they
-arrive in. Once ``long`` re-based rows exist, each new cycle emits the means of the short
+arrive in; a replay that triggers on each ``arrival_range`` in turn bounds them. Once ``long`` re-based rows exist, each new cycle emits the means of the short
 and the long window per sensor and ``predict`` of them. Rows at or below the last seen
 cycle of an earlier batch (or repeated in one) are late: counted and dropped. A null value
 is left out of means, as in the batch operators; a sensor without a baseline stays null.
@@ -18,7 +18,8 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..schema import BASELINE_CYCLES, CYCLE, LONG_WINDOW, SHORT_WINDOW, UNIT
@@ -27,6 +28,16 @@ STATE_SCHEMA = ("last_cycle long, frozen boolean, base_sum array<double>, base_n
                 "recent array<double>, late long")
 
 
+def arrival_range(cycle: Column) -> Column:
+    """Number of a cycle's range in arrival order: 0 to 31, doubling up to 2**16, then 2**16 cycles each.
+
+    A unit has at most 2**16 rows in a range however long it lives, and lives of a few
+    dozen cycles already cross several ranges.
+    """
+    return F.when(cycle < 1 << 16, F.greatest(F.length(F.bin(F.greatest(cycle, F.lit(0)))) - 5, F.lit(0)).cast("long")) \
+            .otherwise(11 + F.shiftright(cycle.cast("long"), 16))
+
+
 def output_columns(sensors: list[str]) -> list[str]:
     return [UNIT, CYCLE, *[f"{s}__mean" for s in sensors], *[f"{s}__long_mean" for s in sensors],
             "predicted_rul", "late_rows"]
