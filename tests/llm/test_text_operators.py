@@ -180,6 +180,20 @@ def test_base_spans_match_the_patterns():
         assert pii.base_spans(t) == plain_base(t), t
 
 
+def test_every_spelled_address_is_proposed(spark):
+    said = ["Jane [AT] Example [DOT] com", "jane at example.com", "jane (At) example dot org", "jane\tat\texample\nDOT\norg", "jane AT example (DOT) com"]
+    for t in said:
+        assert pii.candidates("write " + t, []) == [(6, 0, 6 + len(t))], t
+    d = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string")
+    assert {r["doc_id"]: [(x["start"], x["stop"]) for x in r["loose"]] for r in pii.find_spans(d).collect()} == {i: [(0, len(t))] for i, t in enumerate(said)}
+    rnd = random.Random(5)
+    bits = ["a", "at", "At", "b%", ".", ".c", "@", "(at)", "[AT]", " ", " ", "  ", "\n", "dot", "(dot)", "[Dot]", "é", "-", "_x", "(", "at "]
+    for _ in range(20000):
+        t = "".join(rnd.choice(bits) for _ in range(rnd.randint(1, 14)))
+        assert pii.spelled(t) == [m.span() for m in pii.SPELLED.finditer(t)], t
+    assert pii.spelled("x" * 300_000 + " at home") == pii.spelled("x" * 300_000 + ". Look (at home") == []
+
+
 def test_pii_query_shape_and_redaction(spark, docs, empty):
     d = spark.createDataFrame(awkward(PERSONAL), DOCS)
     found = pii.detect(d).collect()

@@ -42,6 +42,9 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # looser shapes of candidates
 NUMBER = re.compile(r"(?<![\w.+])[(+]?[0-9][0-9()\x20.-]{5,30}[0-9](?!\w)")
 SPELLED = re.compile(r"[\w.%+-]+\s?(?:@|\(at\)|\[at\]|\sat\s)\s?[\w-]+(?:\s?(?:\.|\(dot\)|\[dot\]|\sdot\s)\s?[\w-]+)+", re.I)
+# what every match of SPELLED holds, in any case of letters
+AT = re.compile(r"@|\(at\)|\[at\]|\sat(?=\s)", re.I)
+DOT = re.compile(r"\.|\(dot\)|\[dot\]|\sdot\s", re.I)
 SECRET = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}(?![A-Za-z0-9_-])")
 # gazetteers
 DOMAINS = frozenset("com org net edu gov io info de fr es it uk us eu ch at nl be pl se no fi dk pt cn jp in br ru ca au".split())
@@ -104,12 +107,23 @@ def _kind_of_number(s: str) -> int:
     return 2 if len(_digits(s)) >= 13 else 3
 
 
+def spelled(text: str) -> list[tuple[int, int]]:
+    """Matches of ``SPELLED``, tried only from the word in front of an at mark, so that long words cost their length."""
+    out, end = [], 0
+    for m in AT.finditer(text) if DOT.search(text) else ():
+        stop = m.start() - (m.start() > end and text[m.start() - 1].isspace())
+        start = stop
+        while start > end and (text[start - 1].isalnum() or text[start - 1] in "_.%+-"):
+            start -= 1
+        if start < stop and (found := SPELLED.match(text, start)):
+            out.append((start, end := found.end()))
+    return out
+
+
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of looser shapes that overlap no base span, leftmost first."""
     found = []
-    if any(c in text for c in ("@", "(at)", "[at]", " at ")) and any(c in text for c in (".", "(dot)", "[dot]", " dot ")):
-        if "@" in text or "(at)" in text or "[at]" in text or " dot " in text:
-            found += [(m.start(), 0, m.end()) for m in SPELLED.finditer(text)]
+    found += [(s, 0, e) for s, e in spelled(text)]
     found += [(m.start(), _kind_of_number(m[0]), m.end()) for m in NUMBER.finditer(text) if len(_digits(m[0])) >= 7]
     found += [(m.start(), 4, m.end()) for m in SECRET.finditer(text) if any("0" <= c <= "9" for c in m[0]) and not m[0].isdigit()]
     out, end, taken = [], 0, sorted((s, e) for s, _, e in base)
@@ -180,9 +194,9 @@ def _find(batches):
         texts = C.Texts(C.column(b, "text"))
         mark = np.flatnonzero(texts.per_row(MARKS[texts.data]))  # nothing is proposed without a digit, an @ or a spelled at
         rows = set(mark.tolist())
-        spelled = [i for i, t in enumerate(C.column(b, "text").to_pylist()) if t and i not in rows and ("(at)" in t or "[at]" in t or " dot " in t)]
+        marked = [i for i, t in enumerate(C.column(b, "text").to_pylist()) if t and i not in rows and AT.search(t) and DOT.search(t)]
         base, loose = [[] for _ in range(b.num_rows)], [[] for _ in range(b.num_rows)]
-        for i in sorted(rows | set(spelled)):
+        for i in sorted(rows | set(marked)):
             text = C.column(b, "text")[i].as_py()
             spans = base_spans(text)
             for out, found in ((base, spans), (loose, candidates(text, spans))):
