@@ -129,3 +129,17 @@ def test_updates_keep_last_version(spark):
     counts = stream.groupBy("k").agg(F.sum("v").alias("total"), F.count("*").alias("n"))
     out = run_updates(counts, ["k"], shared_path(spark, f"t-upd-out-{tag}"), shared_path(spark, f"t-upd-ck-{tag}"))
     assert sorted(map(tuple, out.collect())) == [("a", 6.0, 3), ("b", 3.0, 3)]
+
+
+def test_days_arrive_in_event_time_order(spark, monkeypatch, tmp_path):
+    """More days than one trigger holds: every day is there with all its rows."""
+    n = 40
+    spark.range(n * 5).select(
+        F.col("id").alias("event_id"), F.col("id").alias("user_id"), (F.col("id") % 7).cast("double").alias("value"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(id % 40 as int), cast(id % 24 as int))").alias("ts"),
+    ).repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    seen = []
+    monkeypatch.setattr(queries_stream, "run_updates", lambda df, keys, path, checkpoint: (seen.append(checkpoint), run_updates(df, keys, path, checkpoint))[1])
+    out = queries_stream.q_st2(spark, str(tmp_path)).collect()
+    assert len(seen) > 3 and len(set(seen)) == 1
+    assert len(out) == 2 * n and {r["rows"] for r in out} == {5} and len({r["window_start"] for r in out}) == n

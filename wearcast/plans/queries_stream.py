@@ -86,9 +86,13 @@ def q_st2(spark, sf):
     prof = reference_profile(ref, feats)
     shares = reference_bin_shares(ref, prof, feats)
     tag = uuid.uuid4().hex[:8]
-    src = replay_events(spark, sf, shared_path(spark, f"st2-src-{tag}"))
-    counts = windowed_counts(events_sensor_stream(spark, src), prof, feats)
-    last = run_updates(counts, ["w", "feature"], shared_path(spark, f"st2-out-{tag}"), shared_path(spark, f"st2-ckpt-{tag}"))
+    parts = replay_events(spark, sf, shared_path(spark, f"st2-staged-{tag}"))
+    src, table, ckpt = (shared_path(spark, f"st2-{d}-{tag}") for d in ("src", "out", "ckpt"))
+
+    def trigger():
+        return run_updates(windowed_counts(events_sensor_stream(spark, src), prof, feats), ["w", "feature"], table, ckpt)
+
+    last = replay(parts, "_days", src, trigger)
     out = window_verdicts(last, prof, shares).drop("window_end")
     out = out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
     return out.select(*[F.round(c, 6).alias(c) if t == "double" else c for c, t in out.dtypes])

@@ -19,18 +19,20 @@ from pyspark.sql import functions as F
 from ..functions import scalar as X
 from ..operators.drift import PSI_BINS, bin_index, psi_edges
 
+#: Days that one trigger of the replay finds.
+DAYS = 7
 
-def replay_events(spark: SparkSession, sf_dir: str, folder: str) -> str:
-    """Write the events table as one folder per day (the files of a replay), in one job."""
-    ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").withColumn("_day", F.to_date("ts"))
-    ev.repartition("_day").write.partitionBy("_day").parquet(folder)
-    return folder
 
+def replay_events(spark: SparkSession, sf_dir: str, folder: str, days: int = DAYS) -> DataFrame:
+    """The events table ``staged`` by runs of ``days`` days, numbered ``_days`` in event-time order."""
+    ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return staged(ev.withColumn("_days", F.floor(F.unix_date(F.to_date("ts")) / days)), "_days", folder)
 
-def events_sensor_stream(spark: SparkSession, folder: str, files: int = 1000) -> DataFrame:
-    """Streaming events as sensor readings (value, hour); file source, at most ``files`` files per trigger."""
+
+def events_sensor_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Streaming events as sensor readings (value, hour) from the files in ``folder``."""
     schema = spark.read.parquet(folder).schema
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
+    src = spark.readStream.schema(schema).parquet(folder)
     # event time must be TIMESTAMP for the watermark (session clock is UTC)
     return src.select(F.col("ts").cast("timestamp").alias("ts"),
                       F.col("value").cast("double").alias("sensor_1"),
