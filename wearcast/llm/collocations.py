@@ -37,7 +37,7 @@ WORDS, LEAST, COVERED, TOP = 3, 10, 50, 2000
 #: Bitmap of survivors: 2^27 bits are 16 MB.
 BITS = 27
 #: Occurrences of n-grams that a hash partition should hold, and text bytes of a slice.
-MASS, SLICE = 1 << 21, 8 << 20
+MASS, SLICE = 1 << 21, 5 << 19
 #: Candidates of one language and salt that are ranked in one task.
 RANKED = 100_000
 PIECE_END = C.byte_table("\n-\r.,;:!?")
@@ -138,7 +138,8 @@ def summaries(docs: DataFrame, words: int, shift: int) -> DataFrame:
 def survivors(docs: DataFrame, words: int = WORDS, least: int = LEAST, bits: int = BITS, mass: int = MASS) -> bytes:
     """Bitmap over the high ``bits`` bits of n-gram hashes: every n-gram found ``least`` times or more has its bit set."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shift = min(20, max(1, math.ceil(math.log2(max(1, size * words // 4 / mass)))))
+    # a partition's bits fill whole bytes
+    shift = min(20, bits - 3, max(1, math.ceil(math.log2(max(1, size * words // 4 / mass)))))
 
     def fold(t: pa.Table) -> pa.Table:
         keys = np.frombuffer(b"".join(t["keys"].to_pylist()), "<u4")
@@ -153,7 +154,7 @@ def survivors(docs: DataFrame, words: int = WORDS, least: int = LEAST, bits: int
              .groupBy("part").applyInArrow(fold, "part int, bits binary"))
     step = (1 << (bits - shift)) // 8
     out = bytearray(step << shift)
-    for row in found.toLocalIterator():  # 2^bits bits in all, whatever the input
+    for row in found.collect():  # 2^bits bits in all, whatever the input
         out[row["part"] * step:(row["part"] + 1) * step] = row["bits"]
     return bytes(out)
 
