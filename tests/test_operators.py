@@ -11,6 +11,7 @@ from wearcast.operators import evaluate as E
 from wearcast.operators.label import add_rul
 from wearcast.operators.rebase import rebase
 from wearcast.operators.rolling import last_per_unit
+from wearcast.operators.select import group_folds
 from wearcast.operators.sequence import cumulative_sum, number_rows
 from wearcast.sources.files import TooManyFieldsError, parse_whitespace_lines
 
@@ -48,6 +49,27 @@ def test_numbering_starts_no_job(spark):
     assert number_rows(df.limit(0), [], ["unit_id"]).count() == 0
 
 
+def test_numbering_with_clashing_column_names(spark):
+    names = "_n _row _rank _before _l0 _l1 _s_v _in_v _to_v _p_g _up_v _neg".split()
+    rows = [(u, c, float(c), *range(100 * u + c, 100 * u + c + len(names))) for u in (0, 1) for c in range(50)]
+    df = spark.createDataFrame(rows, ["g", "o", "v", *names])
+    for by, order in ((["g"], ["o"]), ([], ["g", "o"]), (["_n"], ["_row", "o"]), ([], ["_n", "_l0"])):
+        a = number_rows(df, by, order, out="r")
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, _plain(df, by, order).collect())), (by, order)
+        b = cumulative_sum(df, by, order, ["v", "_n"])
+        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        c = df.withColumn("v_cum", F.sum("v").over(w)).withColumn("_n_cum", F.sum("_n").over(w))
+        assert sorted(map(repr, b.collect())) == sorted(map(repr, c.collect())), (by, order)
+
+
+def test_folds_are_dealt_in_snake_order(spark):
+    sizes = {1: 9, 2: 30, 3: 4, 4: 12, 5: 7, 6: 30, 7: 1, 8: 15, 9: 2}
+    df = spark.createDataFrame([(u, c) for u, n in sizes.items() for c in range(n)], "unit_id long, time_cycles long")
+    order = sorted(sizes, key=lambda u: (-sizes[u], u))
+    want = {u: (i % 8 if i % 8 < 4 else 7 - i % 8) for i, u in enumerate(order)}
+    assert {r["unit_id"]: r["fold"] for r in group_folds(df).collect()} == want
+
+
 def test_cumulative_sum_equals_plain_window(spark):
     rows = [(u, v / 8 - 20, v % 3) for u in range(2) for v in range(300)]
     df = spark.createDataFrame(rows, "g long, v double, c long")

@@ -18,6 +18,9 @@ rows (``total_order=True`` appends every other sortable column as a tie breaker)
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,11 +72,10 @@ def bucket_levels(df: DataFrame, order: list[str], depth: int) -> list[Column]:
     return out
 
 
-def _null_safe(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & a[k].eqNullSafe(b[f"_p_{k}"])
-    return cond
+def _fresh(*names: str) -> list[str]:
+    """Helper column names that no input has."""
+    tag = uuid.uuid4().hex
+    return [f"{n}_{tag}" for n in names]
 
 
 def _offsets(buckets: DataFrame, by: list[str], levels: list[str], sums: list[str]) -> DataFrame:
@@ -85,36 +87,39 @@ def _offsets(buckets: DataFrame, by: list[str], levels: list[str], sums: list[st
     if by:
         before = Window.partitionBy(*by).orderBy(*levels).rowsBetween(Window.unboundedPreceding, -1)
         return buckets.select(*by, *levels, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in sums])
-    parents = by + levels[:-1]
+    parents = levels[:-1]
     before = Window.partitionBy(*parents).orderBy(levels[-1]).rowsBetween(Window.unboundedPreceding, -1)
     here = buckets.select(*parents, levels[-1], *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in sums])
     if len(levels) == 1:
         return here
-    above = _offsets(buckets.groupBy(*parents).agg(*[F.sum(c).alias(c) for c in sums]), by, levels[:-1], sums)
-    above = above.select(*[F.col(k).alias(f"_p_{k}") for k in parents], *[F.col(c).alias(f"_up_{c}") for c in sums])
-    return here.join(above, _null_safe(here, above, parents)).select(
-        *parents, levels[-1], *[(F.col(c) + F.col(f"_up_{c}")).alias(c) for c in sums])
+    above = _offsets(buckets.groupBy(*parents).agg(*[F.sum(c).alias(c) for c in sums]), by, parents, sums)
+    keys, ups = _fresh(*[f"p{i}" for i in range(len(parents))]), _fresh(*[f"up{i}" for i in range(len(sums))])
+    above = above.select(*[F.col(k).alias(n) for k, n in zip(parents, keys)], *[F.col(c).alias(n) for c, n in zip(sums, ups)])
+    same = reduce(Column.__and__, [here[k].eqNullSafe(above[n]) for k, n in zip(parents, keys)])
+    return here.join(above, same).select(*parents, levels[-1], *[(F.col(c) + F.col(n)).alias(c) for c, n in zip(sums, ups)])
 
 
-def _with_markers(df: DataFrame, by: list[str], order: list[str], sums: dict[str, Column]) -> tuple[DataFrame, list[str]]:
-    """Rows and one marker row per bucket that carries the bucket's offsets."""
+def _with_markers(df: DataFrame, by: list[str], order: list[str], sums: dict[str, Column]) -> tuple[DataFrame, list[str], str]:
+    """Rows and one marker row per bucket that carries the bucket's offsets; names of the levels and of the row flag."""
     cuts = bucket_levels(df, order, 1 if by else 2)   # without a group, the second column cuts equal values of the first
-    names = [f"_l{i}" for i in range(len(cuts))]
+    names = _fresh(*[f"l{i}" for i in range(len(cuts))])
+    (row,) = _fresh("row")
     rows = df.select("*", *[c.alias(n) for c, n in zip(cuts, names)])
     buckets = rows.groupBy(*by, *names).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
-    marks = _offsets(buckets, by, names, list(sums)).withColumn("_row", F.lit(0))
-    return rows.withColumn("_row", F.lit(1)).unionByName(marks, allowMissingColumns=True), names
+    marks = _offsets(buckets, by, names, list(sums)).withColumn(row, F.lit(0))
+    return rows.withColumn(row, F.lit(1)).unionByName(marks, allowMissingColumns=True), names, row
 
 
 def number_rows(df: DataFrame, by: list[str], order: list[str], out: str = "_idx",
                 total_order: bool = False) -> DataFrame:
-    """Add ``out`` = 1, 2, ... per group of ``by`` in ``order``."""
+    """Add ``out`` = 1, 2, ... per group of ``by`` in ``order``; input columns may have any names but ``out``."""
     order = list(order) + (_tie_breakers(df, list(by) + list(order)) if total_order else [])
-    both, levels = _with_markers(df, list(by), order, {"_n": F.lit(1).cast("long")})
+    many, place, ahead = _fresh("n", "rank", "before")
+    both, levels, row = _with_markers(df, list(by), order, {many: F.lit(1).cast("long")})
     w = Window.partitionBy(*by, *levels)
-    rank = F.row_number().over(w.orderBy("_row", *order)).cast("long") - 1
-    return (both.withColumn("_rank", rank).withColumn("_before", F.max("_n").over(w))
-            .where(F.col("_row") == 1).select(*df.columns, (F.col("_before") + F.col("_rank")).cast("long").alias(out)))
+    rank = F.row_number().over(w.orderBy(row, *order)).cast("long") - 1
+    return (both.withColumn(place, rank).withColumn(ahead, F.max(many).over(w))
+            .where(F.col(row) == 1).select(*df.columns, (F.col(ahead) + F.col(place)).cast("long").alias(out)))
 
 
 def cumulative_sum(df: DataFrame, by: list[str], order: list[str], cols: list[str],
@@ -123,10 +128,11 @@ def cumulative_sum(df: DataFrame, by: list[str], order: list[str], cols: list[st
 
     ``order`` must be unique within a group (aggregate first).
     """
-    both, levels = _with_markers(df, list(by), list(order), {f"_s_{c}": F.col(c) for c in cols})
+    total, within, base = (dict(zip(cols, _fresh(*[f"{kind}{i}" for i in range(len(cols))]))) for kind in ("s", "in", "to"))
+    both, levels, row = _with_markers(df, list(by), list(order), {total[c]: F.col(c) for c in cols})
     w = Window.partitionBy(*by, *levels)
-    inside = w.orderBy("_row", *order).rowsBetween(Window.unboundedPreceding, 0)
-    sums = both.select("*", *[F.sum(c).over(inside).alias(f"_in_{c}") for c in cols],
-                       *[F.max(f"_s_{c}").over(w).alias(f"_to_{c}") for c in cols])
-    return sums.where(F.col("_row") == 1).select(
-        *df.columns, *[(F.col(f"_to_{c}") + F.coalesce(F.col(f"_in_{c}"), F.lit(0))).alias(c + suffix) for c in cols])
+    inside = w.orderBy(row, *order).rowsBetween(Window.unboundedPreceding, 0)
+    sums = both.select("*", *[F.sum(F.when(F.col(row) == 1, F.col(c))).over(inside).alias(within[c]) for c in cols],
+                       *[F.max(total[c]).over(w).alias(base[c]) for c in cols])
+    return sums.where(F.col(row) == 1).select(
+        *df.columns, *[(F.col(base[c]) + F.coalesce(F.col(within[c]), F.lit(0))).alias(c + suffix) for c in cols])
