@@ -9,7 +9,6 @@ storage on a cluster).
 
 from __future__ import annotations
 
-from pyspark.ml.regression import GBTRegressionModel, GeneralizedLinearRegressionModel, RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..ml import score as SC
@@ -24,10 +23,6 @@ from ..schema import sensor_columns
 from ..sinks.tables import load_reference, save_reference, write_report, write_table
 
 
-MODEL_CLASSES = {"boosted": GBTRegressionModel, "random_forest": RandomForestRegressionModel,
-                 "poisson_glm": GeneralizedLinearRegressionModel}
-
-
 def _at(workdir: str, name: str) -> str:
     return f"{workdir.rstrip('/')}/{name}"
 
@@ -54,8 +49,7 @@ def drift_stage(spark: SparkSession, train: DataFrame | None, test: DataFrame, w
     return parts
 
 
-def train_stage(spark: SparkSession, train: DataFrame, workdir: str, configs: list[dict] | None = None,
-                parallelism: int = 2) -> dict:
+def train_stage(spark: SparkSession, train: DataFrame, workdir: str, configs: list[dict] | None = None) -> dict:
     """Stages 3-5: fit preprocessing and feature pipelines, tune, persist artifacts."""
     pre = S.preprocessor().fit(train)
     x = pre.transform(train).persist()
@@ -64,21 +58,19 @@ def train_stage(spark: SparkSession, train: DataFrame, workdir: str, configs: li
     write_table(feats, _at(workdir, "features"))
     feats = spark.read.parquet(_at(workdir, "features"))   # lineage cut at the stage table
     data, inputs = T.training_set(feats)
-    res = T.tune(spark, T.with_folds(data), inputs, configs, parallelism=parallelism)
+    res = T.tune(spark, T.with_folds(data), inputs, configs)
     write_table(T.trials_table(spark, res["trials"]), _at(workdir, "trials"))
     write_table(T.cv_table(spark, res["best"]), _at(workdir, "cv_results"))
     write_table(T.cv_summary(T.cv_table(spark, res["best"]), data.count(), len(inputs)), _at(workdir, "training_metrics"))
     write_table(T.improvement_over_baseline(data, res["best"]["test_rmse"]), _at(workdir, "improvement"))
-    if hasattr(res["model"], "featureImportances"):
-        write_table(T.importance_table(spark, res["model"], inputs, top=None), _at(workdir, "importance"))
+    write_table(T.importance_table(spark, res["model"], inputs, top=None), _at(workdir, "importance"))
     SC.save_artifacts(spark, _at(workdir, "artifacts"), pre, lm, sm, res["model"], inputs)
     return res
 
 
-def predict_stage(spark: SparkSession, test: DataFrame, workdir: str, model_type: str) -> dict:
+def predict_stage(spark: SparkSession, test: DataFrame, workdir: str) -> dict:
     """Stage 6: score the last window per unit, evaluate against known RUL."""
-    cls = MODEL_CLASSES[model_type]
-    art = SC.load_artifacts(spark, _at(workdir, "artifacts"), cls)
+    art = SC.load_artifacts(spark, _at(workdir, "artifacts"))
     scored = SC.score(test.drop("rul") if "rul" in test.columns else test, art)
     write_table(scored, _at(workdir, "predictions"))
     out = {"scored": scored}
@@ -102,15 +94,10 @@ def run_pipeline(spark: SparkSession, train: DataFrame, test: DataFrame, workdir
         parts = drift_stage(spark, train, test, workdir)
         verdict = parts["summary"].first()
     retrain = bool(verdict["overall_drift"]) or not path_exists(spark, _at(workdir, "artifacts/features"))
-    model_type = None
     if retrain:
         with metrics.stage("model_training"):
-            res = train_stage(spark, train, workdir, configs)
-            model_type = res["best"]["model_type"]
+            train_stage(spark, train, workdir, configs)
         build_reference(train, workdir)
-    else:
-        model_type = spark.read.parquet(_at(workdir, "trials")) \
-            .orderBy("test_rmse", "trial").first()["model_type"]
     with metrics.stage("model_prediction"):
-        pred = predict_stage(spark, test, workdir, model_type)
+        pred = predict_stage(spark, test, workdir)
     return {"retrained": retrain, "verdict": verdict.asDict(), **pred}

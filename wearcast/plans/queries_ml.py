@@ -1,17 +1,13 @@
-"""Registered learning queries (rows-only checks): fitted feature pipeline,
-grouped CV of one forest configuration, the forest trial grid, importances,
-and end-to-end scoring of the 60 %-life view. Input: events telemetry."""
+"""Registered learning queries (rows-only checks): fitted feature pipeline, the trial grid of
+eight configurations, fold metrics, importances, and end-to-end scoring of the 60 %-life view.
+Input: events telemetry."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..ml import stages as S
 from ..ml import train as T
-from ..ml.score import median_fill
-from ..operators.evaluate import scoring_result
+from ..ml.score import score
 from ..operators.features import join_feature_sets
-from ..operators.rolling import last_per_unit
 from ..sources.telemetry import events_telemetry, truncate_lives
 from .registry import query
 
@@ -31,42 +27,44 @@ def q_fit(spark, sf):
     return _fitted(spark, sf)[4]
 
 
+def _training(spark, sf):
+    data, inputs = T.training_set(_fitted(spark, sf)[4])
+    return T.with_folds(data), inputs
+
+
+@query("trials")
+def q_trials(spark, sf):
+    """All eight configurations over four folds (K9)."""
+    data, inputs = _training(spark, sf)
+    return T.trials_table(spark, T.tune(spark, data, inputs, model=False)["trials"])
+
+
 @query("train_cv_forest")
 def q_cv(spark, sf):
-    feats = _fitted(spark, sf)[4]
-    data, inputs = T.training_set(feats)
-    res = T.tune(spark, T.with_folds(data), inputs, [T.trial_configs()[4]], parallelism=1)
-    return T.cv_table(spark, res["best"])
+    """Fold metrics of the best of the four forests (K3)."""
+    data, inputs = _training(spark, sf)
+    return T.cv_table(spark, T.tune(spark, data, inputs, T.trial_configs()[4:], model=False)["best"])
 
 
-def trials_forest_grid(spark, sf):
-    """The forest half of the trial grid (K9). Not registered: 16 CV fits with
-    depth-30 forests take ~25 min on local[8]; run it through ``train.tune``."""
-    feats = _fitted(spark, sf)[4]
-    data, inputs = T.training_set(feats)
-    res = T.tune(spark, T.with_folds(data), inputs, T.trial_configs()[4:], parallelism=2)
-    return T.trials_table(spark, res["trials"])
+@query("train_cv_boosted")
+def q_cv_boosted(spark, sf):
+    """Fold metrics of the best of the four Poisson boosted models (K3)."""
+    data, inputs = _training(spark, sf)
+    return T.cv_table(spark, T.tune(spark, data, inputs, T.trial_configs()[:4], model=False)["best"])
 
 
 @query("feature_importance_top10")
 def q_importance(spark, sf):
-    feats = _fitted(spark, sf)[4]
-    data, inputs = T.training_set(feats)
-    res = T.tune(spark, T.with_folds(data), inputs, [T.trial_configs()[4]], parallelism=1)
-    return T.importance_table(spark, res["model"], inputs, top=10)
+    """Importances of the best configuration of the eight, refitted on all rows."""
+    data, inputs = _training(spark, sf)
+    return T.importance_table(spark, T.tune(spark, data, inputs)["model"], inputs, top=10)
 
 
 @query("score_engines")
 def q_score(spark, sf):
+    """The best configuration refitted, then every engine cut to 60 % of its life scored."""
     tel, pre, lm, sm, feats = _fitted(spark, sf)
     data, inputs = T.training_set(feats)
-    res = T.tune(spark, T.with_folds(data), inputs, [T.trial_configs()[4]], parallelism=1)
-    test = truncate_lives(tel).drop("rul")
-    x = pre.transform(test)
-    last = last_per_unit(join_feature_sets(lm.transform(x), sm.transform(x)))
-    from pyspark.ml.feature import VectorAssembler
-    ready = median_fill(last.select("unit_id", *inputs), [c for c in inputs])
-    vec = VectorAssembler(inputCols=inputs, outputCol="features").transform(ready)
-    pred = res["model"].transform(vec).select(F.col("unit_id").alias("engine_id"),
-                                              F.col("prediction").alias("predicted_rul"))
-    return scoring_result(pred)
+    res = T.tune(spark, T.with_folds(data), inputs)
+    art = {"preprocessor": pre, "long_pipeline": lm, "short_pipeline": sm, "model": res["model"], "inputs": inputs}
+    return score(truncate_lives(tel).drop("rul"), art)
