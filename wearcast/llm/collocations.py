@@ -38,8 +38,8 @@ WORDS, LEAST, COVERED, TOP = 3, 10, 50, 2000
 BITS = 27
 #: Occurrences of n-grams that a hash partition should hold, and text bytes of a slice.
 MASS, SLICE = 1 << 21, 5 << 19
-#: Candidates of one language and salt that are ranked in one task.
-RANKED = 100_000
+#: Candidates of one language that are ranked in one task, in multiples of the ranks asked for.
+RANKED = 8
 PIECE_END = C.byte_table("\n-\r.,;:!?")
 BLANK = PIECE_END | C.byte_table(" \t")
 
@@ -102,16 +102,21 @@ class Grams:
         return pa.concat_tables(tables).combine_chunks().to_batches()
 
 
-def merge(keys: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Misra-Gries merge of summaries laid end to end: at most ``capacity`` keys stay, no count loses more than mass / (capacity + 1)."""
+def merge(keys: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Misra-Gries merge of summaries laid end to end: at most ``capacity`` keys stay.
+
+    The third result is what every count has lost, at most mass / (capacity + 1).
+    """
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     keys, counts = keys[first], np.add.reduceat(counts, first) if len(first) else counts
+    lost = 0
     if len(keys) > capacity:
-        counts = counts - np.partition(counts, len(counts) - capacity - 1)[len(counts) - capacity - 1]
+        lost = int(np.partition(counts, len(counts) - capacity - 1)[len(counts) - capacity - 1])
+        counts = counts - lost
         keys, counts = keys[counts > 0], counts[counts > 0]
-    return keys, counts
+    return keys, counts, lost
 
 
 def summaries(docs: DataFrame, words: int, shift: int) -> DataFrame:
@@ -144,7 +149,8 @@ def survivors(docs: DataFrame, words: int = WORDS, least: int = LEAST, bits: int
     def fold(t: pa.Table) -> pa.Table:
         keys = np.frombuffer(b"".join(t["keys"].to_pylist()), "<u4")
         counts = np.frombuffer(b"".join(t["counts"].to_pylist()), "<u4").astype(np.int64)
-        kept, _ = merge(keys, counts, int(counts.sum()) // least + 1)
+        kept, left, lost = merge(keys, counts, int(counts.sum()) // least + 1)
+        kept = kept[left + lost >= least]  # the others cannot reach the threshold
         # a partition's bits lie side by side
         segment = np.zeros(1 << (bits - shift), bool)
         segment[kept >> np.uint32(32 - (bits - shift))] = True
@@ -199,12 +205,13 @@ def collocations(docs: DataFrame, words: int = WORDS, least: int = LEAST, covere
     scored = both.withColumns({"top": F.lit(1_000_000).cast("decimal(7,0)") * (a * a), "base": l * r}).withColumn("score", F.expr("top div base"))
     low = scored.groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("s")).select("lang", "phrase", "a", "s.score", "s.l", "s.r")
     ranked = C.stored(low, "scored")
-    # a language's first by salt, then the first of those
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    widest = ranked.groupBy("lang").count().agg(F.max("count")).first()[0] or 0
-    salted = ranked.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(widest // RANKED + 1)))
-    some = salted.withColumn("place", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("place") <= top)
-    best = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
+    # rounds of the first by salt, until a language's rest is small enough for one task
+    while (widest := ranked.groupBy("lang").count().agg(F.max("count")).first()[0] or 0) > RANKED * top:
+        salted = ranked.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(widest // (RANKED * top // 2) + 1)))
+        some = salted.withColumn("place", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("place") <= top)
+        ranked = C.stored(some.drop("salt", "place"), "ranked")
+    best = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
     totals = found.where("words = 0").select("lang", "n")
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
