@@ -35,6 +35,19 @@ def dense_index(df: DataFrame, unit: str = UNIT, cycle: str = CYCLE, out: str =
     return number_rows(df, [unit], [cycle], out=out)
 
 
+def blocked(df: DataFrame, width: int, block_rows: int = DEFAULT_BLOCK_ROWS, index: str = "_idx", direction: int = 1) -> DataFrame:
+    """``df`` with the block ``_blk`` of each row, and the halo rows (``_halo``) of the neighbouring block."""
+    halo_n = width - 1
+    blk = F.floor(F.col(index) / F.lit(block_rows)).cast("long")
+    pos = F.col(index) - blk * F.lit(block_rows)
+    inside = df.withColumn("_blk", blk).withColumn("_halo", F.lit(False))
+    if not halo_n:
+        return inside
+    near = pos >= F.lit(block_rows - halo_n) if direction >= 0 else pos < F.lit(halo_n)
+    step = 1 if direction >= 0 else -1
+    return inside.unionByName(df.withColumn("_blk", blk).where(near).withColumn("_blk", F.col("_blk") + step).withColumn("_halo", F.lit(True)))
+
+
 def rolling(df: DataFrame, width: int, exprs: Callable[..., dict[str, Column]],
             unit: str = UNIT, index: str = "_idx", direction: int = 1,
             block_rows: int = DEFAULT_BLOCK_ROWS, keep_partial: bool = False) -> DataFrame:
@@ -52,19 +65,7 @@ def rolling(df: DataFrame, width: int, exprs: Callable[..., dict[str, Column]],
     if block_rows < width:
         block_rows = width
     halo_n = width - 1
-    blk = F.floor(F.col(index) / F.lit(block_rows)).cast("long")
-    pos = F.col(index) - blk * F.lit(block_rows)
-    base = df.withColumn("_blk", blk).withColumn("_halo", F.lit(False))
-    if halo_n > 0:
-        if direction >= 0:
-            halo_rows = (df.withColumn("_blk", blk)
-                           .where(pos >= F.lit(block_rows - halo_n))
-                           .withColumn("_blk", F.col("_blk") + 1))
-        else:
-            halo_rows = (df.withColumn("_blk", blk)
-                           .where(pos < F.lit(halo_n))
-                           .withColumn("_blk", F.col("_blk") - 1))
-        base = base.unionByName(halo_rows.withColumn("_halo", F.lit(True)))
+    base = blocked(df, width, block_rows, index, direction)
     # Explicit (unit, block) distribution: an upstream hash(unit) layout would
     # otherwise satisfy the window and keep a hot unit in one task.
     base = base.repartition(unit, "_blk")
