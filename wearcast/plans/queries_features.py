@@ -104,7 +104,7 @@ SELECT unit_id, time_cycles, {wide} FROM s5 GROUP BY unit_id, time_cycles"""
 @query("window_kernels_long", sql=_kernel_sql(SENS))
 def q_kernels(spark, sf):
     reb = rebase(events_telemetry(spark, sf), SENS)
-    out = extract_features(reb, SENS, 20, SQL_CALC)
+    out = extract_features(reb, SENS, 20, SQL_CALC, dense=True)
     return out.select(*[_sig(F.col(f"`{f.name}`")).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name) for f in out.schema.fields])
 
 
@@ -114,14 +114,14 @@ FROM reb WINDOW w AS (PARTITION BY unit_id ORDER BY time_cycles ROWS BETWEEN 4 P
 QUALIFY count(*) OVER w = 5""")
 def q_short(spark, sf):
     reb = rebase(events_telemetry(spark, sf), SENS)
-    return _round_all(short_features(reb, SENS))
+    return _round_all(short_features(reb, SENS, dense=True))
 
 
 @query("window_adf")
 def q_adf(spark, sf):
     reb = rebase(events_telemetry(spark, sf), SENS)
     calc = {"augmented_dickey_fuller": LONG_CALCULATORS["augmented_dickey_fuller"]}
-    return _round_all(extract_features(reb, SENS, 20, calc))
+    return _round_all(extract_features(reb, SENS, 20, calc, dense=True))
 
 
 @query("feature_sets_joined", sql=f"""WITH {TEL_EVENTS}, {rebased(SENS)},
@@ -134,5 +134,5 @@ SELECT lw.unit_id, lw.time_cycles, {", ".join(f'round(sw."{s}__mean", 6) AS "{s}
 FROM lw JOIN sw ON lw.unit_id = sw.unit_id AND lw.time_cycles = sw.time_cycles WHERE sw.n = 5""")
 def q_joined(spark, sf):
     reb = rebase(events_telemetry(spark, sf), SENS)
-    lw = extract_features(reb, SENS, 20, {"mean": None}).select("unit_id", "time_cycles")
-    return _round_all(join_feature_sets(lw, short_features(reb, SENS)))
+    lw = extract_features(reb, SENS, 20, {"mean": None}, dense=True).select("unit_id", "time_cycles")
+    return _round_all(join_feature_sets(lw, short_features(reb, SENS, dense=True)))

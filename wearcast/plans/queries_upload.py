@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..schema import CANONICAL, RAW_FIELDS
+from ..operators.conform import conform, fill_medians
 from ..sources.files import parse_whitespace_lines
 from ..sources.telemetry import read_table
 from .registry import query
@@ -18,25 +18,6 @@ _TEXT_SQL = """SELECT '  ' || CAST(l_suppkey AS VARCHAR) || ' ' || CAST(l_linenu
 FROM lineitem"""
 
 
-def conform(parsed, data_type: str = "test", dataset: str = "FD001", with_clock: bool = False):
-    """P5 + P4 + P6: constants, canonical order (existing only), numeric coercion (bad or NaN text is null)."""
-    numeric = [c for c in RAW_FIELDS if c in parsed.columns]
-    df = parsed.select(*[F.expr(f"nullif(try_cast(`{c}` AS DOUBLE), double('NaN'))").alias(c) for c in numeric])
-    df = df.withColumn("rul", F.lit(None).cast("double")) \
-           .withColumn("data_type", F.lit(data_type)).withColumn("dataset", F.lit(dataset))
-    if with_clock:
-        df = df.withColumn("created_at", F.current_timestamp())
-    return df.select(*[c for c in CANONICAL if c in df.columns])
-
-
-def fill_medians(df, prefixes=("sensor_", "op_setting_")):
-    """Nulls in sensor/setting columns -> column median, 0 when all null."""
-    cols = [c for c in df.columns if c.startswith(prefixes)]
-    med = df.agg(*[F.median(c).alias(c) for c in cols]).first()
-    return df.select(*[F.coalesce(F.col(c), F.lit(med[c] if med[c] is not None else 0.0)).alias(c)
-                       if c in cols else F.col(c) for c in df.columns])
-
-
 @query("upload_parse_conform", sql=f"""WITH lines AS ({_TEXT_SQL}),
 p AS (SELECT regexp_split_to_array(trim(regexp_replace(value, '[\\t ]+', ' ', 'g')), ' ') AS a FROM lines),
 c AS (SELECT TRY_CAST(a[1] AS DOUBLE) AS unit_id, TRY_CAST(a[2] AS DOUBLE) AS time_cycles,
@@ -47,15 +28,32 @@ SELECT unit_id, time_cycles, op_setting_1, op_setting_2, op_setting_3, sensor_1,
        coalesce(sensor_2, (SELECT coalesce(median(sensor_2), 0.0) FROM c)) AS sensor_2,
        CAST(NULL AS DOUBLE) AS rul, 'test' AS data_type, 'FD001' AS dataset FROM c""")
 def q_upload(spark, sf):
+    return fill_medians(conform(parse_whitespace_lines(_upload_text(spark, sf))))
+
+
+def _upload_text(spark, sf):
     li = read_table(spark, sf, "lineitem")
-    text = li.select(F.concat(F.lit("  "), F.col("l_suppkey").cast("string"), F.lit(" "),
+    return li.select(F.concat(F.lit("  "), F.col("l_suppkey").cast("string"), F.lit(" "),
                               F.col("l_linenumber").cast("string"), F.lit("   "),
                               F.col("l_quantity").cast("string"), F.lit("\t"),
                               F.col("l_extendedprice").cast("string"), F.lit(" "),
                               F.col("l_discount").cast("string"), F.lit(" "),
                               F.col("l_tax").cast("string"), F.lit(" "), F.col("l_returnflag"),
                               F.lit(" ")).alias("value"))
-    return fill_medians(conform(parse_whitespace_lines(text)))
+
+
+@query("upload_numbered", sql=f"""WITH lines AS ({_TEXT_SQL}),
+p AS (SELECT regexp_split_to_array(trim(regexp_replace(value, '[\\t ]+', ' ', 'g')), ' ') AS a FROM lines),
+c AS (SELECT TRY_CAST(a[1] AS DOUBLE) AS unit_id, TRY_CAST(a[2] AS DOUBLE) AS time_cycles,
+             TRY_CAST(a[3] AS DOUBLE) AS op_setting_1, TRY_CAST(a[4] AS DOUBLE) AS op_setting_2,
+             TRY_CAST(a[5] AS DOUBLE) AS op_setting_3, TRY_CAST(a[6] AS DOUBLE) AS sensor_1,
+             TRY_CAST(a[7] AS DOUBLE) AS sensor_2 FROM p)
+SELECT row_number() OVER (ORDER BY unit_id NULLS FIRST, time_cycles NULLS FIRST, op_setting_1 NULLS FIRST, op_setting_2 NULLS FIRST,
+                          op_setting_3 NULLS FIRST, sensor_1 NULLS FIRST, sensor_2 NULLS FIRST) AS id, *,
+       CAST(NULL AS DOUBLE) AS rul, 'test' AS data_type, 'FD001' AS dataset FROM c""")
+def q_numbered(spark, sf):
+    """P5: the conformed upload with its ``id``, before filling."""
+    return conform(parse_whitespace_lines(_upload_text(spark, sf)), with_id=True)
 
 
 @query("csv_stage_table", sql="""WITH tel AS (
