@@ -14,33 +14,13 @@ from wearcast.operators.rebase import rebase
 from wearcast.plans import queries_stream
 from wearcast.session import shared_path
 from wearcast.sources.telemetry import events_telemetry
-from wearcast.streaming.drift_stream import run_to_table, run_updates
-from wearcast.streaming.unit_state import arrival_range, make_updater, stream_unit_features
+from wearcast.streaming.drift_stream import run_updates
+from wearcast.streaming.unit_state import advance, arrival_range, fresh, score_stream, stream_unit_features
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "unit_id long, time_cycles long, sensor_1 double, sensor_2 double"
 
 
-class State:
-    """A group state as the updater sees it."""
-
-    def __init__(self):
-        self.exists, self.hasTimedOut, self.value, self.removed, self.timeout = False, False, None, False, None
-
-    @property
-    def get(self):
-        return self.value
-
-    def update(self, value):
-        self.exists, self.value = True, value
-
-    def remove(self):
-        self.removed = True
-
-    def setTimeoutDuration(self, ms):
-        self.timeout = ms
-
-
 def _batch_means(df):
     based = rebase(df, ["sensor_1", "sensor_2"])
     short = {(r["unit_id"], r["time_cycles"]): r for r in short_features(based, ["sensor_1", "sensor_2"]).collect()}
@@ -60,8 +40,13 @@ def test_stream_equals_batch(spark):
     spark.createDataFrame([(1, 3, 99.0, 99.0)], SCHEMA).withColumn("_p", F.lit(9)) \
         .write.mode("append").partitionBy("_p").parquet(src)
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 4).parquet(src)
-    feats = stream_unit_features(stream, ["sensor_1", "sensor_2"], predict=lambda out: out["sensor_1__mean"] * 2)
-    out = run_to_table(feats, shared_path(spark, f"t-st1-out-{tag}"), shared_path(spark, f"t-st1-ck-{tag}"))
+    feats = stream_unit_features(stream, ["sensor_1", "sensor_2"])
+    paths = shared_path(spark, f"t-st1-out-{tag}"), shared_path(spark, f"t-st1-ck-{tag}")
+
+    def doubled(f):
+        return f.withColumn("predicted_rul", F.col("sensor_1__mean") * 2)
+
+    out = score_stream(feats, doubled, *paths)
     got = {(r["unit_id"], r["time_cycles"]): r for r in out.collect()}
     want = _batch_means(df)
     assert len(got) == len(want) == 2 * 31
@@ -69,6 +54,33 @@ def test_stream_equals_batch(spark):
         g = got[k]
         assert (g["sensor_1__mean"], g["sensor_2__mean"], g["sensor_1__long_mean"], g["sensor_2__long_mean"]) == pytest.approx(w)
         assert g["predicted_rul"] == pytest.approx(2 * g["sensor_1__mean"])
+    before = sorted(map(repr, out.collect()))
+    # the last batch run again, as after a failure before its commit, replaces its own rows
+    commits = os.path.join(paths[1].removeprefix("file:"), "commits")
+    last = max(int(f) for f in os.listdir(commits) if f.isdigit())
+    for f in (str(last), f".{last}.crc"):
+        if os.path.exists(os.path.join(commits, f)):
+            os.remove(os.path.join(commits, f))
+    again = score_stream(feats, doubled, *paths)
+    assert sorted(map(repr, again.select(*out.columns).collect())) == before
+
+
+def test_state_expires_after_its_time_to_live(spark):
+    rows = [(1, c, float(c), 1.0) for c in range(1, 61)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = {}
+    for ttl in (None, 1):
+        tag = uuid.uuid4().hex[:8]
+        src, table, ckpt = (shared_path(spark, f"t-ttl-{d}-{tag}") for d in ("src", "out", "ck"))
+        for lo, hi in ((0, 30), (30, 60)):
+            df.where((F.col("time_cycles") > lo) & (F.col("time_cycles") <= hi)).coalesce(1).write.mode("append").parquet(src)
+            stream = spark.readStream.schema(df.schema).parquet(src)
+            out = score_stream(stream_unit_features(stream, ["sensor_1", "sensor_2"], ttl_ms=ttl), lambda f: f, table, ckpt, {"once": True})
+        found[ttl] = {r["time_cycles"]: r["sensor_1__long_mean"] for r in out.collect()}
+    assert sorted(found[None]) == list(range(30, 61)) and None not in found[None].values()
+    # forgotten after the first half: no baseline and no earlier rows
+    assert sorted(found[1]) == [30] + list(range(50, 61)) and {found[1][c] for c in range(50, 61)} == {None}
+
 
 
 def test_unordered_chunks_and_nulls():
@@ -76,35 +88,38 @@ def test_unordered_chunks_and_nulls():
     full = pd.DataFrame({"unit_id": 1, "time_cycles": np.arange(1, 61), "sensor_1": rng.normal(size=60), "sensor_2": rng.normal(size=60)})
     full.loc[[2, 30, 31], "sensor_1"] = np.nan
     full.loc[:9, "sensor_2"] = np.nan                                   # no baseline at all
-    one, many = State(), State()
-    update = make_updater(["sensor_1", "sensor_2"], ttl_ms=1000)
-    whole = pd.concat(update((1,), iter([full]), one))
-    shuffled = full.sample(frac=1, random_state=1)
-    parts = pd.concat(update((1,), iter([shuffled[:25], shuffled[25:]]), many))
-    pd.testing.assert_frame_equal(whole.reset_index(drop=True), parts.reset_index(drop=True))
-    assert len(whole) == 31 and one.timeout == 1000
+    sensors = ["sensor_1", "sensor_2"]
+    state, whole = advance(fresh(2), full, sensors)
+    _, parts = advance(fresh(2), full.sample(frac=1, random_state=1), sensors)
+    pd.testing.assert_frame_equal(whole, parts)
+    assert len(whole) == 31
     base = full["sensor_1"][:10].mean()
     assert whole["sensor_1__long_mean"].iloc[0] == pytest.approx((full["sensor_1"][10:30] - base).mean())
     assert whole["sensor_2__long_mean"].isna().all() and (whole["late_rows"] == 0).all()
     # the same rows again are late; new ones go on from the state
-    assert not list(update((1,), iter([full]), one)) and one.value[-1] == 60
+    state, none = advance(state, full, sensors)
+    assert not len(none) and state[:2] == (60, 60)
     more = pd.DataFrame({"unit_id": 1, "time_cycles": [61], "sensor_1": [1.0], "sensor_2": [math.nan]})
-    again = pd.concat(update((1,), iter([more]), one))
+    _, again = advance(state, more, sensors)
     assert again["time_cycles"].tolist() == [61] and again["late_rows"].tolist() == [60]
-    one.hasTimedOut = True
-    assert not list(update((1,), iter([]), one)) and one.removed
+    # cut anywhere, the pieces give what the whole gives
+    at, out = fresh(2), []
+    for k in range(0, 60, 7):
+        at, some = advance(at, full[k:k + 7], sensors)
+        out.append(some)
+    pd.testing.assert_frame_equal(pd.concat(out, ignore_index=True), whole)
 
 
 def test_registered_replay_carries_state(spark, monkeypatch):
     seen, stopped = [], []
 
-    def run(df, path, checkpoint):
-        out = run_to_table(df, path, checkpoint)
+    def run(df, predict, path, checkpoint):
+        out = score_stream(df, predict, path, checkpoint)
         seen.append(checkpoint)
         stopped.append(out.count())
         return out
 
-    monkeypatch.setattr(queries_stream, "run_to_table", run)
+    monkeypatch.setattr(queries_stream, "score_stream", run)
     got = queries_stream.q_st1(spark, SF).collect()
     batches = [f for f in os.listdir(os.path.join(seen[0], "commits")) if f.isdigit()]
     assert len(set(seen)) == 1 and len(batches) == len(seen) == 3 and stopped[0] < stopped[1] < stopped[2] == len(got)

@@ -10,13 +10,15 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators.drift import reference_profile
+from ..operators.features import extract_features
 from ..operators.label import add_rul
-from ..schema import CYCLE, RUL, RUL_CAP
+from ..operators.rebase import rebase
+from ..schema import CYCLE, LONG_WINDOW, RUL, RUL_CAP, UNIT
 from ..session import shared_path
 from ..sources.telemetry import events_telemetry, read_table
 from ..streaming.drift_stream import (events_sensor_stream, reference_bin_shares, replay, replay_events,
                                       run_to_table, run_updates, staged, window_verdicts, windowed_counts)
-from ..streaming.unit_state import arrival_range, stream_unit_features
+from ..streaming.unit_state import arrival_range, output_columns, score_stream, stream_unit_features
 from .oracle_sql import TEL_EVENTS, rebased
 from .queries_drift import BIN, SPLIT
 from .registry import query
@@ -41,16 +43,55 @@ SELECT unit_id, time_cycles, {", ".join(f"round({s}__mean, 6) AS {s}__mean, roun
 FROM w, fit WHERE n = 20""")
 def q_st1(spark, sf):
     tel = events_telemetry(spark, sf)
-    tag = uuid.uuid4().hex[:8]
-    tel = staged(tel.withColumn("_range", arrival_range(F.col(CYCLE))), "_range", shared_path(spark, f"st1-staged-{tag}"))
     a, b = cycle_model(tel)
+    scored = _replayed(spark, tel.withColumn("_range", arrival_range(F.col(CYCLE))),
+                       lambda f: f.withColumn("predicted_rul", F.lit(a) + F.lit(b) * F.col(CYCLE)))
+    out = scored.select(*[c for c in output_columns(SENS) if c != "late_rows"], "predicted_rul", "late_rows")
+    return out.select(*[F.round(c, 6).alias(c) if t == "double" else c for c, t in out.dtypes])
+
+
+def _replayed(spark, rows, predict):
+    """Rows with a ``_range`` played range by range, a trigger each, into the table of scored windows."""
+    tag = uuid.uuid4().hex[:8]
+    rows = staged(rows, "_range", shared_path(spark, f"st1-staged-{tag}"))
     src, table, ckpt = (shared_path(spark, f"st1-{d}-{tag}") for d in ("src", "out", "ckpt"))
 
     def trigger():
-        stream = spark.readStream.schema(tel.drop("_range").schema).parquet(src)
-        return run_to_table(stream_unit_features(stream, SENS, predict=lambda out: a + b * out[CYCLE]), table, ckpt)
+        stream = spark.readStream.schema(rows.drop("_range").schema).parquet(src)
+        return score_stream(stream_unit_features(stream, SENS), predict, table, ckpt)
+
+    return replay(rows, "_range", src, trigger)
+
 
-    out = replay(tel, "_range", src, trigger)
+def window_model(tel):
+    """Least squares of the capped label on the long mean of sensor_1, over all full windows: (intercept, slope)."""
+    long = extract_features(rebase(tel, ["sensor_1"]), ["sensor_1"], LONG_WINDOW, {"mean": None}, dense=True)
+    fit = long.join(add_rul(tel.select(UNIT, CYCLE), cap=RUL_CAP), [UNIT, CYCLE]).agg(
+        F.regr_intercept(RUL, "sensor_1__mean"), F.regr_slope(RUL, "sensor_1__mean")).first()
+    return float(fit[0] or 0.0), float(fit[1] or 0.0)
+
+
+@query("stream_unit_scores", sql=f"""WITH {TEL_EVENTS}, {rebased(SENS)},
+lab AS (SELECT unit_id, time_cycles, CAST(least(max(time_cycles) OVER (PARTITION BY unit_id) - time_cycles, {RUL_CAP}) AS DOUBLE) AS y,
+               greatest(length(bin(time_cycles)) - 5, 0) AS part FROM tel),
+w AS (SELECT unit_id, time_cycles, {", ".join(f"avg({s}) OVER s5 AS {s}__mean, avg({s}) OVER s20 AS {s}__long_mean" for s in SENS)}, count(*) OVER s20 AS n
+      FROM reb WINDOW s5 AS (PARTITION BY unit_id ORDER BY time_cycles ROWS BETWEEN 4 PRECEDING AND CURRENT ROW),
+                      s20 AS (PARTITION BY unit_id ORDER BY time_cycles ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)),
+fit AS (SELECT regr_intercept(y, sensor_1__long_mean) AS a, regr_slope(y, sensor_1__long_mean) AS b FROM w JOIN lab USING (unit_id, time_cycles) WHERE n = 20),
+sent AS (SELECT unit_id, part + 1 AS part, count(*) AS late FROM lab WHERE time_cycles % 10 = 0 GROUP BY ALL),
+seen AS (SELECT l.unit_id, l.time_cycles, CAST(coalesce(sum(s.late), 0) AS BIGINT) AS late_rows
+         FROM lab l LEFT JOIN sent s ON s.unit_id = l.unit_id AND s.part <= l.part GROUP BY ALL)
+SELECT unit_id, time_cycles, {", ".join(f"round({s}__mean, 6) AS {s}__mean, round({s}__long_mean, 6) AS {s}__long_mean" for s in SENS)},
+       round(a + b * sensor_1__long_mean, 6) AS predicted_rul, late_rows
+FROM w JOIN seen USING (unit_id, time_cycles), fit WHERE n = 20""")
+def q_st1_scores(spark, sf):
+    """Predictions from the window features; every tenth row of a range is sent again with the next one, and is late there."""
+    tel = events_telemetry(spark, sf)
+    a, b = window_model(tel)
+    part = arrival_range(F.col(CYCLE))
+    rows = tel.withColumn("_range", part).unionByName(tel.where(F.col(CYCLE) % 10 == 0).withColumn("_range", part + 1))
+    scored = _replayed(spark, rows, lambda f: f.withColumn("predicted_rul", F.lit(a) + F.lit(b) * F.col("sensor_1__long_mean")))
+    out = scored.select(*[c for c in output_columns(SENS) if c != "late_rows"], "predicted_rul", "late_rows")
     return out.select(*[F.round(c, 6).alias(c) if t == "double" else c for c, t in out.dtypes])
 
 

@@ -1,15 +1,18 @@
-"""ST1: per-unit streaming state: features and a prediction for every full window.
-
-State per unit (``applyInPandasWithState``): per sensor the sum and the count of the
-non-null baseline values (cycles up to ``n_first``; the baseline is frozen at the first
-later cycle), the last cycle seen, the last ``long - 1`` re-based rows and the number of
-late rows. All rows of a unit's micro-batch are sorted together, whatever chunks they
-arrive in; a replay that triggers on each ``arrival_range`` in turn bounds them. Once ``long`` re-based rows exist, each new cycle emits the means of the short
-and the long window per sensor and ``predict`` of them. Rows at or below the last seen
-cycle of an earlier batch (or repeated in one) are late: counted and dropped. A null value
-is left out of means, as in the batch operators; a sensor without a baseline stays null.
-State of units that stay silent for ``ttl_ms`` is removed (for always-on triggers: with a
-processing-time timeout an available-now run would keep starting batches).
+"""ST1: per-unit streaming state: features of every full window, and predictions from them.
+
+A ``StatefulProcessor`` (``transformWithStateInPandas``) keeps per unit a typed value, ``life``
+(last cycle seen, late rows, and per sensor the sum and count of the non-null baseline values:
+cycles up to ``n_first``, frozen at the first later cycle), and a typed list, ``recent``, of the
+last ``long - 1`` re-based rows. All rows of a unit's micro-batch are sorted together, whatever
+chunks they arrive in; a replay that triggers on each ``arrival_range`` in turn bounds them. Once
+``long`` re-based rows exist, each new cycle emits the means of the short and the long window per
+sensor. Rows at or below the last cycle of an earlier batch (or repeated in one) are late: they
+are counted, reported with the unit's next row, and dropped. A null value is left out of means,
+as in the batch operators; a sensor without a baseline stays null. Both states expire ``ttl_ms``
+after a unit's last row, if given.
+
+``score_stream`` applies a model to the features in ``foreachBatch``; a batch's rows replace what
+an earlier try of the same batch wrote.
 """
 
 from __future__ import annotations
@@ -20,12 +23,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..schema import BASELINE_CYCLES, CYCLE, LONG_WINDOW, SHORT_WINDOW, UNIT
 
-STATE_SCHEMA = ("last_cycle long, frozen boolean, base_sum array<double>, base_n array<long>, "
-                "recent array<double>, late long")
+LIFE = "last_cycle long, late long, frozen boolean, base_sum array<double>, base_n array<long>"
+RECENT = "x array<double>"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def arrival_range(cycle: Column) -> Column:
@@ -39,8 +43,7 @@ def arrival_range(cycle: Column) -> Column:
 
 
 def output_columns(sensors: list[str]) -> list[str]:
-    return [UNIT, CYCLE, *[f"{s}__mean" for s in sensors], *[f"{s}__long_mean" for s in sensors],
-            "predicted_rul", "late_rows"]
+    return [UNIT, CYCLE, *[f"{s}__mean" for s in sensors], *[f"{s}__long_mean" for s in sensors], "late_rows"]
 
 
 def _out_schema(sensors: list[str]) -> str:
@@ -57,56 +60,86 @@ def window_means(rows: np.ndarray, width: int) -> np.ndarray:
         return np.where(n > 0, (total[width:] - total[:-width]) / n, np.nan)
 
 
-def make_updater(sensors: list[str], n_first: int = BASELINE_CYCLES, short: int = SHORT_WINDOW,
-                 long: int = LONG_WINDOW, predict: Callable | None = None, ttl_ms: int | None = None):
-    columns, k = output_columns(sensors), len(sensors)
-
-    def update(key, pdfs, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        if state.exists:
-            last, frozen, base_sum, base_n, recent, late = state.get
-            base_sum, base_n = np.array(base_sum, float), np.array(base_n, np.int64)
-            recent = np.array([np.nan if v is None else v for v in recent], float).reshape(-1, k)
-        else:
-            last, frozen, base_sum, base_n, recent, late = -(1 << 62), False, np.zeros(k), np.zeros(k, np.int64), np.zeros((0, k)), 0
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(CYCLE, kind="mergesort")
-        new = batch[batch[CYCLE] > last].drop_duplicates(CYCLE)
-        late += len(batch) - len(new)
-        cycle = new[CYCLE].to_numpy(np.int64)
-        values = new[sensors].to_numpy(float, na_value=np.nan)
-        early = cycle <= n_first if not frozen else np.zeros(len(cycle), bool)
-        ok = ~np.isnan(values[early])
-        base_sum, base_n = base_sum + np.where(ok, values[early], 0.0).sum(0), base_n + ok.sum(0)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            rows = values[~early] - np.where(base_n > 0, base_sum / base_n, np.nan)
-        frozen = frozen or bool((~early).any())
-        series = np.vstack([recent, rows])
-        cycles = cycle[~early]
-        if len(cycle):
-            last = int(cycle[-1])
-        keep = series[max(0, len(series) - (long - 1)):]
-        state.update((last, frozen, base_sum.tolist(), base_n.tolist(),
-                      [None if np.isnan(v) else float(v) for v in keep.ravel()], int(late)))
-        if ttl_ms:
-            state.setTimeoutDuration(ttl_ms)
-        full = min(len(rows), max(0, len(series) - long + 1))
-        if full:
-            out = pd.DataFrame(np.hstack([window_means(series, short)[-full:], window_means(series, long)[-full:]]), columns=columns[2:-2])
+def fresh(k: int) -> tuple:
+    """State of a unit never seen: last cycle, late rows, frozen, baseline sums and counts, recent rows."""
+    return -(1 << 62), 0, False, np.zeros(k), np.zeros(k, np.int64), np.zeros((0, k))
+
+
+def advance(state: tuple, batch: pd.DataFrame, sensors: list[str], n_first: int = BASELINE_CYCLES,
+            short: int = SHORT_WINDOW, long: int = LONG_WINDOW) -> tuple[tuple, pd.DataFrame]:
+    """The unit's next state, and a row per new full window: cycle, means, late rows so far."""
+    last, late, frozen, base_sum, base_n, recent = state
+    batch = batch.sort_values(CYCLE, kind="mergesort")
+    new = batch[batch[CYCLE] > last].drop_duplicates(CYCLE)
+    late += len(batch) - len(new)
+    cycle = new[CYCLE].to_numpy(np.int64)
+    values = new[sensors].to_numpy(float, na_value=np.nan)
+    early = cycle <= n_first if not frozen else np.zeros(len(cycle), bool)
+    ok = ~np.isnan(values[early])
+    base_sum, base_n = base_sum + np.where(ok, values[early], 0.0).sum(0), base_n + ok.sum(0)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        rows = values[~early] - np.where(base_n > 0, base_sum / base_n, np.nan)
+    frozen = frozen or bool((~early).any())
+    series = np.vstack([recent, rows])
+    if len(cycle):
+        last = int(cycle[-1])
+    full = min(len(rows), max(0, len(series) - long + 1))
+    means = np.hstack([window_means(series, w)[-full:] if full else np.zeros((0, len(sensors))) for w in (short, long)])
+    out = pd.DataFrame(means, columns=output_columns(sensors)[2:-1])
+    out.insert(0, CYCLE, cycle[~early][-full:] if full else np.zeros(0, np.int64))
+    out["late_rows"] = np.int64(late)
+    return (last, int(late), frozen, base_sum, base_n, series[max(0, len(series) - (long - 1)):]), out
+
+
+class UnitProcessor(StatefulProcessor):
+    """``advance`` over typed state of each unit."""
+
+    def __init__(self, sensors: list[str], n_first: int, short: int, long: int, ttl_ms: int | None):
+        self.sensors, self.sizes, self.ttl = list(sensors), (n_first, short, long), ttl_ms
+
+    def init(self, handle) -> None:
+        self.life = handle.getValueState("life", LIFE, ttlDurationMs=self.ttl)
+        self.recent = handle.getListState("recent", RECENT, ttlDurationMs=self.ttl)
+
+    def handleInputRows(self, key, rows, timerValues):
+        state = fresh(len(self.sensors))
+        if self.life.exists():
+            last, late, frozen, base_sum, base_n = self.life.get()
+            kept = [[np.nan if v is None else v for v in r[0]] for r in self.recent.get()]
+            state = (last, late, frozen, np.array(base_sum, float), np.array(base_n, np.int64), np.array(kept, float).reshape(-1, len(self.sensors)))
+        batch = pd.concat(list(rows), ignore_index=True)
+        (last, late, frozen, base_sum, base_n, recent), out = advance(state, batch, self.sensors, *self.sizes)
+        self.life.update((last, late, frozen, base_sum.tolist(), base_n.tolist()))
+        self.recent.put([([None if np.isnan(v) else float(v) for v in r],) for r in recent])
+        if len(out):
             out.insert(0, UNIT, key[0])
-            out.insert(1, CYCLE, cycles[-full:])
-            out["predicted_rul"] = predict(out) if predict else np.nan
-            out["late_rows"] = late
-            yield out[columns]
-    return update
+            yield out
+
+    def close(self) -> None:
+        pass
 
 
 def stream_unit_features(stream: DataFrame, sensors: list[str], n_first: int = BASELINE_CYCLES,
-                         short: int = SHORT_WINDOW, long: int = LONG_WINDOW, predict: Callable | None = None,
-                         ttl_ms: int | None = None) -> DataFrame:
-    """Keyed by unit; one row per new full long window. ``predict`` maps the output frame to one value a row."""
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout
+                         short: int = SHORT_WINDOW, long: int = LONG_WINDOW, ttl_ms: int | None = None) -> DataFrame:
+    """Keyed by unit; one row per new full long window: unit, cycle, short and long means, late rows so far."""
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)   # typed state needs it
     return (stream.select(UNIT, CYCLE, *sensors).groupBy(UNIT)
-                  .applyInPandasWithState(make_updater(sensors, n_first, short, long, predict, ttl_ms), _out_schema(sensors),
-                                          STATE_SCHEMA, "append", timeout))
+                  .transformWithStateInPandas(UnitProcessor(sensors, n_first, short, long, ttl_ms), _out_schema(sensors),
+                                              "append", "ProcessingTime" if ttl_ms else "None"))
+
+
+def score_stream(features: DataFrame, predict: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
+                 trigger: dict | None = None) -> DataFrame:
+    """Score all available features into the table at ``path`` (columns of ``predict``'s result and the batch number).
+
+    ``predict`` maps a batch's features to its rows. Each batch has a folder of its own that a
+    repeated batch replaces, so a rerun after a failure changes nothing. Features with a time to
+    live need another trigger than available-now, which would go on starting batches for them.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        predict(batch).write.mode("overwrite").parquet(f"{path}/_batch={number}")
+
+    q = (features.writeStream.foreachBatch(write).outputMode("append")
+         .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
+    q.awaitTermination()
+    return features.sparkSession.read.parquet(path)
