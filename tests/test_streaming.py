@@ -158,3 +158,20 @@ def test_days_arrive_in_event_time_order(spark, monkeypatch, tmp_path):
     out = queries_stream.q_st2(spark, str(tmp_path)).collect()
     assert len(seen) > 3 and len(set(seen)) == 1
     assert len(out) == 2 * n and {r["rows"] for r in out} == {5} and len({r["window_start"] for r in out}) == n
+
+
+def test_a_batch_run_again_changes_nothing(spark):
+    tag = uuid.uuid4().hex[:8]
+    src, out, ckpt = (shared_path(spark, f"t-again-{d}-{tag}") for d in ("src", "out", "ck"))
+    for p in range(2):
+        spark.createDataFrame([("a", p + 1.0)], "k string, v double").coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema("k string, v double").parquet(src)
+        counts = stream.groupBy("k").agg(F.sum("v").alias("total"))
+        got = run_updates(counts, ["k"], out, ckpt)
+    before = got.collect()
+    commits = os.path.join(ckpt.removeprefix("file:"), "commits")
+    for f in ("1", ".1.crc"):
+        if os.path.exists(os.path.join(commits, f)):
+            os.remove(os.path.join(commits, f))
+    assert run_updates(counts, ["k"], out, ckpt).collect() == before == [("a", 3.0)]
+    assert spark.read.parquet(out).count() == 2

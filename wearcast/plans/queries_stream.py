@@ -16,8 +16,8 @@ from ..operators.rebase import rebase
 from ..schema import CYCLE, LONG_WINDOW, RUL, RUL_CAP, UNIT
 from ..session import shared_path
 from ..sources.telemetry import events_telemetry, read_table
-from ..streaming.drift_stream import (events_sensor_stream, reference_bin_shares, replay, replay_events,
-                                      run_to_table, run_updates, staged, window_verdicts, windowed_counts)
+from ..streaming.drift_stream import (DAYS, events_sensor_stream, late_rows, reference_bin_shares, replay, replay_events,
+                                      run_updates, staged, window_verdicts, windowed_counts)
 from ..streaming.unit_state import arrival_range, output_columns, score_stream, stream_unit_features
 from .oracle_sql import TEL_EVENTS, rebased
 from .queries_drift import BIN, SPLIT
@@ -137,3 +137,25 @@ def q_st2(spark, sf):
     out = window_verdicts(last, prof, shares).drop("window_end")
     out = out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
     return out.select(*[F.round(c, 6).alias(c) if t == "double" else c for c, t in out.dtypes])
+
+
+@query("stream_late_days", sql=f"""WITH days AS (SELECT date_trunc('day', ts) AS w, count(*) AS n, count(*) FILTER (event_id % 2 = 0) AS again FROM events GROUP BY ALL),
+late AS (SELECT w, CASE WHEN w = (SELECT min(w) FROM days) THEN again ELSE 0 END AS again, n FROM days)
+SELECT CAST(w AS TIMESTAMP) AS window_start, n + again AS sent, n AS counted, again AS late FROM late""")
+def q_late_days(spark, sf):
+    """The replay of ``stream_window_drift`` whose last trigger brings half of the first day again: the watermark drops
+    those rows, and they are reported."""
+    ev = read_table(spark, sf, "events")
+    prof = reference_profile(ev.select(F.col("value").cast("double").alias("sensor_1"), F.hour("ts").cast("double").alias("sensor_2")), ["sensor_1", "sensor_2"])
+    tag = uuid.uuid4().hex[:8]
+    days = ev.withColumn("_days", F.floor(F.unix_date(F.to_date("ts")) / DAYS))
+    ends = days.agg(F.min(F.to_date("ts")).alias("first"), F.max("_days").alias("last"))
+    again = ev.join(F.broadcast(ends)).where((F.to_date("ts") == F.col("first")) & (F.col("event_id") % 2 == 0))  # one row of ends
+    parts = staged(days.unionByName(again.select(*ev.columns, F.col("last").alias("_days"))), "_days", shared_path(spark, f"st2-late-{tag}"))
+    src, table, ckpt = (shared_path(spark, f"st2-{d}-{tag}") for d in ("src", "out", "ckpt"))
+
+    def trigger():
+        return run_updates(windowed_counts(events_sensor_stream(spark, src), prof, ["sensor_1", "sensor_2"]), ["w", "feature"], table, ckpt)
+
+    out = late_rows(spark, src, replay(parts, "_days", src, trigger))
+    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

@@ -115,23 +115,28 @@ def replay(parts: DataFrame, part: str, folder: str, trigger: Callable[[], DataF
     return out
 
 
-def run_to_table(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Drive an append plan over all available input into a Parquet table."""
-    q = (df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-           .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def late_rows(spark: SparkSession, folder: str, counted: DataFrame, ts: str = "ts", window: str = "1 day") -> DataFrame:
+    """Side count of the watermark: per window the rows the source sent, those counted, and those that came too late.
+
+    ``counted`` is the last version of ``windowed_counts``, whose features all count every row.
+    """
+    sent = spark.read.parquet(folder).groupBy(F.window(F.col(ts).cast("timestamp"), window).alias("w")).agg(F.count(F.lit(1)).alias("sent"))
+    kept = counted.groupBy("w").agg(F.max("rows").alias("kept"))
+    return sent.join(kept, "w", "left").select(F.col("w.start").alias("window_start"), "sent", F.coalesce("kept", F.lit(0).cast("long")).alias("counted"),
+                                               (F.col("sent") - F.coalesce("kept", F.lit(0))).alias("late"))
 
 
 def run_updates(df: DataFrame, keys: list[str], path: str, checkpoint: str) -> DataFrame:
     """Drive an update-mode plan into a Parquet table of versions; returns the last version of each key."""
     def write(batch: DataFrame, number: int) -> None:
-        batch.withColumn("_batch", F.lit(number).cast("long")).write.mode("append").parquet(path)
+        # a batch run again, after a failure before its commit, replaces its own versions
+        batch.write.mode("overwrite").parquet(f"{path}/_batch={number}")
 
     q = (df.writeStream.foreachBatch(write).outputMode("update")
            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     versions = df.sparkSession.read.parquet(path)
     rest = [c for c in df.columns if c not in keys]
+    versions = versions.withColumn("_batch", F.col("_batch").cast("long"))
     last = versions.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_batch").alias("_v"))
     return last.select(*keys, *[F.col(f"_v.`{c}`").alias(c) for c in rest])
