@@ -260,6 +260,12 @@ def drift_summary(detail: DataFrame, issues: DataFrame, temporal: DataFrame) ->
          .alias("recommendation"))
 
 
+def with_unreadable(summary: DataFrame, bad_rows: int) -> DataFrame:
+    """Input that could not be read is quality drift and leads to retraining, whatever the readable rows say."""
+    return summary.withColumns({"quality_drift": F.lit(True), "overall_drift": F.lit(True), "recommendation": F.lit("retrain"),
+                                "unreadable_rows": F.lit(bad_rows).cast("long")})
+
+
 def first_run_report(spark) -> DataFrame:
     """No reference profile -> drift, retrain."""
     return spark.createDataFrame(

@@ -82,6 +82,13 @@ class MetricsTable:
                      F.create_map().cast("map<string,string>").alias("labels"), "value")
              .write.mode("append").parquet(self.path))
 
+    def record_rows(self, stage: str, rows: list[tuple[str, dict[str, str], float]]) -> None:
+        """Many metric rows (``metric_rows``) in one write."""
+        now = datetime.now(timezone.utc).replace(tzinfo=None)
+        if rows:
+            self.spark.createDataFrame([(now, stage, m, labels, float(v)) for m, labels, v in rows], METRIC_SCHEMA) \
+                .coalesce(1).write.mode("append").parquet(self.path)
+
     @contextmanager
     def stage(self, name: str):
         """Times a stage; records duration and status (the error is re-raised, not masked)."""

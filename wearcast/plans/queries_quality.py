@@ -7,6 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..ml import stages as S
+from ..operators import drift as D
+from ..operators import evaluate as E
+from ..operators import metric_rows as R
+from ..operators.evaluate import RUL_BOUNDS
 from ..operators.quality import (MetricsTable, ingestion_quality, stage_summary,
                                  transformation_metrics)
 from ..operators.rebase import rebase
@@ -14,7 +18,10 @@ from ..schema import META_DROP
 from ..session import shared_path
 from ..sources.telemetry import lineitem_telemetry, truncate_lives
 from .oracle_sql import TEL_LINEITEM
-from .registry import query
+from .queries_drift import FEATS
+from .queries_drift import _split as split_events
+from .queries_eval import _inputs as baseline_predictions
+from .registry import query, sql_of
 
 _COLS = ["unit_id", "time_cycles", "sensor_1", "sensor_2", "sensor_3", "sensor_4"]
 
@@ -52,12 +59,71 @@ def q_transform(spark, sf):
                       "dropped_manual", "dropped_low_variance")
 
 
-@query("stage_metrics_summary")
+@query("stage_metrics_summary", sql="""SELECT * FROM (VALUES ('data_ingestion', 'success', CAST(1 AS BIGINT)),
+('data_transformation', 'success', 1), ('drift_detection', 'failure', 1)) t(stage, status, executions)""")
 def q_stages(spark, sf):
+    """Executions by stage and status, of stages over the lineitem telemetry of which one fails; times are in the rows."""
     m = MetricsTable(spark, shared_path(spark, f"metrics-{uuid.uuid4().hex[:8]}"))
     with m.stage("data_ingestion"):
-        tel = lineitem_telemetry(spark, sf).persist()
-        m.record_frame("data_ingestion", ingestion_quality(tel, "train"))
+        tel, counts = R.observed_write(lineitem_telemetry(spark, sf), shared_path(spark, f"stage-{uuid.uuid4().hex[:8]}"))
+        m.record_rows("data_ingestion", R.ingestion(counts, "train"))
     with m.stage("data_transformation"):
         rebase(tel).write.format("noop").mode("overwrite").save()
-    return stage_summary(m.read())
+    try:
+        with m.stage("drift_detection"):
+            raise LookupError("no reference")
+    except LookupError:
+        pass
+    return stage_summary(m.read()).select("stage", "status", "executions")
+
+
+def _metrics_sql() -> str:
+    """Metric rows as a union over the SQL of the tables they come from."""
+    sql = {k: sql_of(k) for k in ("ingestion_quality", "transformation_metrics", "drift_summary", "eval_rul_distribution", "eval_metrics")}
+    cum = " UNION ALL ".join(f"SELECT 'rul_prediction_values', 'le={b:g}', CAST(count AS DOUBLE) FROM dist WHERE le = CAST('{b}' AS DOUBLE)" for b in RUL_BOUNDS)
+    return f"""WITH ing AS ({sql['ingestion_quality']}), tra AS ({sql['transformation_metrics']}), dri AS ({sql['drift_summary']}),
+dist AS ({sql['eval_rul_distribution']}), ev AS ({sql['eval_metrics']}),
+rows_(metric, labels, value) AS (
+SELECT 'dataset_size_records', 'dataset_type=' || dataset_type || ',stage=ingestion', CAST(rows AS DOUBLE) FROM ing
+UNION ALL SELECT 'dataset_features_count', 'dataset_type=' || dataset_type || ',stage=ingestion', columns FROM ing
+UNION ALL SELECT 'data_quality_score', 'dataset_type=' || dataset_type || ',stage=ingestion', quality_score FROM ing
+UNION ALL SELECT 'missing_values_percentage', 'column_type=sensor,dataset_type=' || dataset_type, sensor_missing_pct FROM ing
+UNION ALL SELECT 'transformation_data_reduction_ratio', '', reduction_ratio FROM tra
+UNION ALL SELECT 'features_dropped_count', 'drop_reason=manual', dropped_manual FROM tra
+UNION ALL SELECT 'features_dropped_count', 'drop_reason=low_variance', dropped_low_variance FROM tra
+UNION ALL SELECT 'drift_detected', 'drift_type=overall', CAST(overall_drift AS INTEGER) FROM dri
+UNION ALL SELECT 'drift_detected', 'drift_type=data', CAST(data_drift AS INTEGER) FROM dri
+UNION ALL SELECT 'drift_detected', 'drift_type=quality', CAST(quality_drift AS INTEGER) FROM dri
+UNION ALL SELECT 'drift_detected', 'drift_type=temporal', CAST(temporal_drift AS INTEGER) FROM dri
+UNION ALL SELECT 'drift_features_count', '', features_with_drift FROM dri
+UNION ALL SELECT 'drift_severity_score', '', drift_severity FROM dri
+UNION ALL SELECT 'predictions_total', '', n_engines FROM ev
+UNION ALL {cum}
+UNION ALL SELECT 'prediction_accuracy_score', 'metric_type=rmse', rmse FROM ev
+UNION ALL SELECT 'prediction_accuracy_score', 'metric_type=mae', mae FROM ev
+UNION ALL SELECT 'prediction_accuracy_score', 'metric_type=mape', mape FROM ev
+UNION ALL SELECT 'prediction_accuracy_score', 'metric_type=r2', r2 FROM ev)
+SELECT metric, labels, round(value, 6) AS value FROM rows_"""
+
+
+def q_metric_rows(spark, sf):
+    """K8: the deterministic metric rows of ingestion, transformation, drift and prediction (PSI values: ``drift_psi``)."""
+    m = MetricsTable(spark, shared_path(spark, f"metrics-{uuid.uuid4().hex}"))
+    tel = lineitem_telemetry(spark, sf)
+    tables = {"train": tel.withColumn("rul", F.lit(None).cast("double")), "test": truncate_lives(tel)}
+    train, counts = R.observed_write(tables["train"], shared_path(spark, f"train-{uuid.uuid4().hex}"))
+    _, test_counts = R.observed_write(tables["test"], shared_path(spark, f"test-{uuid.uuid4().hex}"))
+    m.record_rows("data_ingestion", R.ingestion({k: v for k, v in counts.items() if k != "rul"}, "train") + R.ingestion(test_counts, "test"))
+    after, kept = R.observed_write(S.preprocessor().fit(train).transform(train), shared_path(spark, f"after-{uuid.uuid4().hex}"))
+    m.record_rows("data_transformation", R.transformation(counts["rows"], kept["rows"], train.columns, after.columns, META_DROP))
+    ref, cur = split_events(spark, sf, nulls=True)
+    parts = D.detect_drift(D.reference_profile(ref, FEATS), D.fleet_shape(ref), None, cur, ref_counts=D.value_counts(ref, FEATS))
+    found = R.drift(parts["summary"].first().asDict(), parts["detail"])
+    m.record_rows("drift_detection", [r for r in found if r[0] != "psi_score"])
+    pred, truth = baseline_predictions(spark, sf)
+    m.record_rows("model_prediction", R.prediction(pred, None, E.evaluation_metrics(pred, truth).first().asDict()))
+    labels = F.array_join(F.transform(F.array_sort(F.map_entries("labels")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+    return m.read().select("metric", labels.alias("labels"), F.round("value", 6).alias("value"))
+
+
+query("pipeline_metric_rows", sql=_metrics_sql())(q_metric_rows)

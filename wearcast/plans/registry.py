@@ -24,6 +24,11 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+def sql_of(name: str) -> str:
+    """SQL of a query registered before, for queries built from others."""
+    return _SQL[name]
+
+
 def _load_all() -> None:
     # Importing the modules registers their queries.
     from . import (queries_core, queries_drift, queries_eval, queries_features,  # noqa: F401
