@@ -3,12 +3,16 @@ before 2024-01-16, current after), with DuckDB oracles."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import drift as D
 from ..sources.telemetry import events_telemetry
 from .oracle_sql import TEL_EVENTS
+from ..session import shared_path
+from ..sources.files import read_quarantined
 from .registry import query
 
 SPLIT = "2024-01-16 00:00:00"
@@ -222,3 +226,22 @@ def q_summary(spark, sf):
     # from the stored form alone: profile, fleet shape and value counts
     parts = D.detect_drift(prof, D.fleet_shape(ref), None, cur, ref_counts=D.value_counts(ref, FEATS))
     return _r(parts["summary"])
+
+
+@query("drift_unreadable_input", sql=f"""WITH {_sides()}
+SELECT count(*) FILTER (time_cycles % 50 <> 0) AS readable_rows, count(*) FILTER (time_cycles % 50 = 0) AS unreadable_rows,
+       true AS quality_drift, true AS overall_drift, 'retrain' AS recommendation FROM cur""")
+def q_unreadable(spark, sf):
+    """A CSV with broken lines goes through the quarantine reader, and the verdict is drift and retraining."""
+    ref, cur = _split(spark, sf)
+    tag = uuid.uuid4().hex
+    names = cur.columns
+    whole = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names])
+    lines = cur.select(F.when(F.col("time_cycles") % 50 == 0, F.concat(F.lit("?,"), whole)).otherwise(whole).alias("value"))
+    path = shared_path(spark, f"upload-{tag}")
+    lines.write.text(path)
+    good, bad = read_quarantined(spark, path, shared_path(spark, f"quarantine-{tag}"), cur.schema, header=False)
+    prof = D.reference_profile(ref, FEATS)
+    parts = D.detect_drift(prof, D.fleet_shape(ref), None, good, ref_counts=D.value_counts(ref, FEATS))
+    out = D.with_unreadable(parts["summary"], bad) if bad else parts["summary"].withColumn("unreadable_rows", F.lit(0).cast("long"))
+    return out.select(F.lit(good.count()).alias("readable_rows"), "unreadable_rows", "quality_drift", "overall_drift", "recommendation")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,30 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | None =
     return reader.csv(path)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_quarantined(spark: SparkSession, path: str, folder: str, schema: T.StructType | None = None,
+                     header: bool = True) -> tuple[DataFrame, int]:
+    """CSV rows that fit the schema, and the number of those that do not.
+
+    One pass over the files writes all rows to ``folder``/rows and counts the broken ones: lines
+    with too few or too many fields, or with a field that is no value of its column. Those are
+    kept with their file in ``folder``/quarantine, and are not in the result.
+    """
+    schema = schema or telemetry_schema()
+    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    raw = (spark.read.option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+           .schema(wide).csv(path).withColumn("_file", F.input_file_name()))
+    seen = Observation()
+    raw.observe(seen, F.count_if(F.col(CORRUPT).isNotNull()).alias("bad")).write.mode("overwrite").parquet(f"{folder}/rows")
+    stored = spark.read.parquet(f"{folder}/rows")
+    bad = int(seen.get["bad"] or 0)
+    if bad:
+        stored.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"), F.col("_file").alias("file")).write.mode("overwrite").parquet(f"{folder}/quarantine")
+    return stored.where(F.col(CORRUPT).isNull()).select(*schema.fieldNames()), bad
+
+
 class TooManyFieldsError(ValueError):
     pass
 
