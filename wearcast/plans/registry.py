@@ -31,7 +31,7 @@ def sql_of(name: str) -> str:
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from . import (queries_core, queries_drift, queries_eval, queries_features,  # noqa: F401
+    from . import (queries_core, queries_decisions, queries_drift, queries_eval, queries_features,  # noqa: F401
                    queries_ml, queries_quality, queries_relevance, queries_select, queries_stream,
                    queries_upload)
 
