@@ -41,6 +41,11 @@ def plain_components(rows, width, percent):
     return collections.Counter((i, len(shingles(t, width)), (find(i) if shingles(t, width) else i) if i is not None else None) for i, t in rows)
 
 
+def plain_rows(texts, width, percent):
+    """(row, shingles, first row of its group) with every row a document."""
+    return list(plain_components(list(enumerate(texts)), width, percent))
+
+
 def near_copies(seed=9):
     rnd = random.Random(seed)
     rows = []
@@ -247,6 +252,14 @@ def test_pipeline_stages(spark, labels, tmp_path):
     kept = [(i, t) for i, t in rows_of(at[0][1], "doc_id", "text") if i is not None]
     comps = plain_components(kept, 5, 80)
     assert {i for i in text[1] if i is not None} == {i for i, _, c in comps if i == c}
+    # rows as documents of their own: one of each group stays, whatever its id
+    rows_in = rows_of(at[0][1], "doc_id", "text")
+    group = [c for _, _, c in sorted(plain_rows([t for _, t in rows_in], 5, 80))]
+    want = collections.Counter()
+    for g in set(group):
+        members = [rows_in[k] for k in range(len(rows_in)) if group[k] == g]
+        want[min(members, key=lambda r: (r[0] is None, r[0] or 0))[0]] += 1 if shingles(members[0][1], 5) else len(members)
+    assert collections.Counter(i for i, _ in rows_of(at[1][1], "doc_id", "text")) == want
     assert 80 in text[1] and 80 not in text[2]
     assert "jane@mail" in text[2][75] and "jane@mail" not in text[3][75] and "[EMAIL]" in text[3][75]
     packed = at[4][1]

@@ -9,18 +9,21 @@ encoded, so Python objects are only made for distinct words.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 
 SLICE_BYTES = 4 << 20
+#: Texts that the pipeline hands to Python at once.
+BATCH_ROWS = 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,8 +31,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Checkpoint folder and worker imports, for callers that enter a stage directly."""
+    """Checkpoint folder, worker imports and batch size, for callers that enter a stage directly."""
     ensure_checkpoint_dir(spark)
+    # a batch of texts is held by the JVM and by Python at once
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     ship_package(spark)
 
 
@@ -55,6 +60,20 @@ def fold(n: int, col: str = "doc_id") -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % n
 
 
+def smallest(rows: DataFrame, group: str, key: str, n: int) -> DataFrame:
+    """The ``n`` rows of smallest key hash of each group (a bounded sample); ``rows`` are distinct.
+
+    Groups are counted first and cut to about four times ``n`` rows by their hash, so no task
+    ranks a whole group, however many of the rows it has.
+    """
+    h, many, rank = (f"{x}_{uuid.uuid4().hex}" for x in ("h", "many", "rank"))
+    size = rows.groupBy(group).agg(F.count(F.lit(1)).alias(many))
+    hashed = rows.join(size, group).withColumn(h, F.xxhash64(key))
+    few = hashed.where((F.col(many) <= 4 * n) | (F.pmod(F.col(h), F.lit(1 << 40)) < F.lit(4.0 * n) / F.col(many) * float(1 << 40)))
+    place = Window.partitionBy(group).orderBy(F.pmod(F.col(h), F.lit(1 << 40)), h, key)
+    return few.withColumn(rank, F.row_number().over(place)).where(F.col(rank) <= n).drop(h, many, rank)
+
+
 #: Decisions up to this many rows (16 bytes a row) are broadcast; more of them are joined by a shuffle.
 BROADCAST_DECISIONS = 1_000_000
 
@@ -176,6 +195,15 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = S
             j = max(i + 1, int(np.searchsorted(off, off[i] + limit, "right")) - 1)
             yield b.slice(i, j - i)
             i = j
+        release()
+
+
+def release() -> None:
+    """Give freed memory back to the system: a worker lives on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:

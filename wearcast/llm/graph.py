@@ -31,17 +31,18 @@ def hot_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inn
     return cold.unionByName(left.join(known, keys, "left_semi").join(F.broadcast(right.join(known, keys, "left_semi")), keys, how))
 
 
-def _star(e: DataFrame, rows: int, large: bool) -> DataFrame:
+def _star(e: DataFrame, cut: int, large: bool) -> DataFrame:
     # large: every node's larger neighbours point to its smallest neighbour; small: its smaller ones do
     both = e.unionByName(e.select(F.col("root").alias("node"), F.col("node").alias("root"))) if large else e
     least = (both.groupBy("node").agg(F.min("root").alias("least"), F.count(F.lit(1)).alias("many"))
              .withColumn("least", F.least("node", "least")))
-    cut = max(rows // HOT, HOT)
-    # at most 2 * HOT nodes have that many of the rows
-    hot = F.broadcast(least.where(F.col("many") > cut).select("node", "least"))
-    joined = (both.join(F.broadcast(least.where(F.col("many") > cut).select("node")), "node", "left_anti")
-              .join(least.where(F.col("many") <= cut).select("node", "least"), "node")
-              .unionByName(both.join(hot, "node")))
+    if cut:
+        # nodes with more rows than the cut, at most 2 * HOT of them, meet their rows by a broadcast
+        few = C.stored(least.where(F.col("many") > cut).select("node", "least"), "hot-nodes")
+        joined = (both.join(F.broadcast(few.select("node")), "node", "left_anti").join(least.where(F.col("many") <= cut).select("node", "least"), "node")
+                  .unionByName(both.join(F.broadcast(few), "node")))
+    else:
+        joined = both.join(least, "node")
     if large:
         moved = joined.where(F.col("root") > F.col("node")).select(F.col("root").alias("node"), F.col("least").alias("root"))
     else:
@@ -54,7 +55,7 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node that edges (node, root) lead to, for every node with an edge.
 
     Alternating large-star and small-star steps until nothing changes; each round is stored,
-    and nodes with very many edges meet their neighbours by a broadcast, not in one task.
+    and while nodes have very many edges, those meet their neighbours by a broadcast, not in one task.
     """
     now = C.stored(edges.select(F.greatest("node", "root").alias("node"), F.least("node", "root").alias("root"))
                    .where("node != root").distinct(), "edges")
@@ -63,5 +64,7 @@ def components(edges: DataFrame) -> DataFrame:
         new = now.agg(F.count("*"), F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))).first()
         if new == state or not new[0]:
             return now.select("node", F.col("root").alias("label"))
-        state = new
-        now = C.stored(_star(_star(now, new[0], True), new[0], False), "edges")
+        state, cut = new, max(new[0] // HOT, HOT)
+        ends = now.select(F.explode(F.array("node", "root")).alias("node")).groupBy("node").count()
+        cut = cut if (ends.agg(F.max("count")).first()[0] or 0) > cut else 0
+        now = C.stored(_star(C.stored(_star(now, cut, True), "star"), cut, False), "edges")

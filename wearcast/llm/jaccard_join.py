@@ -6,7 +6,11 @@ components they form.
   shingles. Sets of a size class are cut by hash range into more than d parts, so a linking
   pair has an equal part; a document is entered under a signature of each of its parts
   (and, near the border of a size class, of the parts it has in the joint class). Parts are
-  several shingles wide, so a frequent shingle or passage alone routes nothing.
+  several shingles wide, so a frequent shingle or passage alone routes nothing. Signatures are
+  first packed per slice of documents and hash partition; those that stand in one place only are
+  dropped by a bitmap of fixed size before rows of them are dealt (a full bitmap drops none).
+  There are more parts than a linking pair can change, so partners share several of them, and
+  documents that share fewer (a common passage) are set aside by count.
 * First round. Every document is searched against the smallest document that shares a part
   with it, which links most groups of near-copies to one component each.
 * Second round. Signature groups that still hold several components are joined to blocks
@@ -37,12 +41,16 @@ from pyspark.sql import functions as F
 
 from ..operators.sequence import cumulative_sum
 from . import common as C
+from .graph import components
 
 WIDTH, PERCENT = 3, 90
-PIECE, BROADCAST_IDS = 256, 1_000_000
+#: Shingles that one T-occurrence task gets beside its root's.
+PIECE_SHINGLES, BROADCAST_IDS = 400_000, 1_000_000
 #: Shingles of one chunk of a block (8 bytes each); a task holds two chunks.
-CHUNK_SHINGLES = 2_000_000
-SKETCH = "doc_id long, text_key long, n_shingles long, k1 long, k2 long, sigs array<long>"
+CHUNK_SHINGLES = 800_000
+SKETCH = "doc_id long, text_key long, n_shingles long, k1 long, k2 long"
+#: Bitmap of shared signatures (2^26 bits are 8 MB), and signatures that a hash partition should hold.
+BITS, MASS = 26, 1 << 21
 
 
 def _mix(x: np.ndarray, seed: int) -> np.ndarray:
@@ -125,16 +133,21 @@ class Router:
         return [(tag, d + 1 + self.spare(tag, d), 1 + self.spare(tag, d)) for tag, d in found if d]
 
     def spare(self, tag: int, d: int) -> int:
-        """Parts beyond d + 1, so that a few empty parts do no harm; depends on the tag alone."""
+        """Parts beyond d + 1: a few empty parts do no harm, and linking pairs share several; depends on the tag alone."""
         i = (tag + 1) // 2
         smallest = self.bounds[i] if tag % 2 == 0 else max(1, self.percent * self.bounds[i] // 100)
-        return 2 + math.ceil(2 * (d + 1) * math.exp(-smallest / (d + 1)))
+        return 2 + d // 4 + math.ceil(2 * (d + 1) * math.exp(-smallest / (d + 1)))
 
     def signatures(self, s: np.ndarray) -> np.ndarray:
+        return self.entries(s)[0]
+
+    def entries(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Signatures of a set, with the tag of each and the number of them that it shares at least with any partner in that tag."""
         n = len(s)
+        none = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
         if not n:
-            return np.zeros(0, np.uint64)
-        out = []
+            return none
+        out, tags, needs = [], [], []
         with np.errstate(over="ignore"):
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(s, 1), dtype=np.uint64)])
             for tag, parts, untouched in self.tags(n):
@@ -144,29 +157,105 @@ class Router:
                 sig = _mix(sums[at[1:]] - sums[at[:-1]] + many.astype(np.uint64), 2)
                 sig = _mix(sig + _mix(np.arange(parts, dtype=np.uint64) + np.uint64(tag << 32), 5), 7)
                 # an untouched part is sure to have members unless as many parts are empty
-                out.append(sig if (many == 0).sum() >= untouched else sig[many > 0])
-        return np.concatenate(out) if out else np.zeros(0, np.uint64)
+                empty = int((many == 0).sum())
+                out.append(sig if empty >= untouched else sig[many > 0])
+                tags.append(np.full(len(out[-1]), tag, np.int32))
+                needs.append(np.full(len(out[-1]), max(1, untouched - empty), np.int32))
+        return (np.concatenate(out), np.concatenate(tags), np.concatenate(needs)) if out else none
 
 
-def sketches(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """doc_id, text_key, n_shingles, a 128-bit key of the set, and its signatures."""
+def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """doc_id, text_key, n_shingles and a 128-bit key of the set."""
 
     def task(batches):
-        router = Router(percent)
         for b in C.slices(batches):
             sets = shingle_sets(C.column(b, "text"), width)
             keys = [[int(x) for x in (_mix(s, 21).sum(dtype=np.uint64), _mix(s, 22).sum(dtype=np.uint64))] for s in sets]
             k = np.array(keys, np.uint64).reshape(-1, 2).view(np.int64)
-            sigs = [router.signatures(s).view(np.int64) for s in sets]
-            off = np.concatenate([[0], np.cumsum([len(x) for x in sigs])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [C.column(b, "doc_id").cast(pa.int64()), C.column(b, "text_key"), pa.array(np.array([len(s) for s in sets], np.int64)),
-                 pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy()), pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(sigs) if sigs else np.zeros(0, np.int64)))],
-                names=["doc_id", "text_key", "n_shingles", "k1", "k2", "sigs"])
+                 pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy())], names=["doc_id", "text_key", "n_shingles", "k1", "k2"])
 
     return docs.select("doc_id", "text", C.text_key().alias("text_key")).mapInArrow(task, SKETCH)
 
 
+def signature_slices(docs: DataFrame, width: int, percent: int, shift: int) -> DataFrame:
+    """(part, keys): the signatures that a slice of documents has, by hash partition (2^shift of them), cut to 32 bits
+    and packed; one that several documents of the slice have stands there twice."""
+
+    def task(batches):
+        router = Router(percent)
+        for b in C.slices(batches):
+            # rows of one document count once
+            own: dict[int, list[np.ndarray]] = {}
+            for i, s in zip(C.column(b, "doc_id").to_pylist(), shingle_sets(C.column(b, "text"), width)):
+                own.setdefault(i, []).append(router.signatures(s))
+            found, many = np.unique(np.concatenate([np.unique(np.concatenate(x)) for x in own.values()]), return_counts=True)
+            if not len(found):
+                continue
+            found = np.repeat(found, np.minimum(many, 2))
+            part = (found >> np.uint64(64 - shift)).astype(np.int32)
+            at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
+            low = ((found << np.uint64(shift)) >> np.uint64(32)).astype("<u4")
+            packed = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * 4).astype(np.int32)), pa.py_buffer(low)])
+            yield pa.RecordBatch.from_arrays([pa.array(part[at[:-1]]), packed], names=["part", "keys"])
+
+    return docs.select("doc_id", "text").mapInArrow(task, "part int, keys binary")
+
+
+def shared_bits(slices: DataFrame, shift: int, bits: int = BITS) -> bytes:
+    """Bitmap over the high ``bits`` bits of signatures: each one that two documents or more have has its bit set."""
+
+    def fold(t: pa.Table) -> pa.Table:
+        keys, many = np.unique(np.frombuffer(b"".join(t["keys"].to_pylist()), "<u4"), return_counts=True)
+        segment = np.zeros(1 << (bits - shift), bool)
+        segment[keys[many > 1] >> np.uint32(32 - (bits - shift))] = True
+        return pa.table({"part": t["part"].slice(0, 1), "bits": pa.array([np.packbits(segment, bitorder="little").tobytes()], pa.binary())})
+
+    found = slices.repartition(max(2, min(1 << shift, 8192)), "part").groupBy("part").applyInArrow(fold, "part int, bits binary")
+    step = (1 << (bits - shift)) // 8
+    out = bytearray(step << shift)
+    for row in found.collect():  # 2^bits bits in all, whatever the input
+        out[row["part"] * step:(row["part"] + 1) * step] = row["bits"]
+    return bytes(out)
+
+
+def postings(docs: DataFrame, marks: bytes, width: int, percent: int, bits: int = BITS) -> DataFrame:
+    """(doc_id, sig, tag, need) of the documents' signatures whose bit is set."""
+    shared = docs.sparkSession.sparkContext.broadcast(marks)
+
+    def task(batches):
+        router, on = Router(percent), np.frombuffer(shared.value, np.uint8)
+        for b in C.slices(batches):
+            found = []
+            for s in shingle_sets(C.column(b, "text"), width):
+                sig, tag, need = router.entries(s)
+                bit = sig >> np.uint64(64 - bits)
+                set_ = (on[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                found.append((sig[set_], tag[set_], need[set_]))
+            owner = np.repeat(np.arange(len(found)), [len(x) for x, *_ in found])
+            sig, tag, need = (np.concatenate(x) for x in zip(*found))
+            yield pa.RecordBatch.from_arrays([C.column(b, "doc_id").cast(pa.int64()).take(pa.array(owner)), pa.array(sig.view(np.int64)), pa.array(tag), pa.array(need)],
+                                             names=["doc_id", "sig", "tag", "need"])
+
+    return docs.select("doc_id", "text").mapInArrow(task, "doc_id long, sig long, tag int, need int")
+
+
+def shared_groups(posts: DataFrame) -> DataFrame:
+    """(sig, node, least): signatures that several documents have, of documents that share as many of a tag as a partner asks for.
+
+    A document that shares fewer (one passage, say) has no partner in that tag; what it leaves
+    behind is looked at once more.
+    """
+    for _ in range(2):
+        least = posts.groupBy("sig").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("sig", "least")
+        open_ = C.stored(posts.join(least, "sig"), "shared")
+        enough = open_.groupBy("doc_id", "tag").agg(F.count_distinct("sig").alias("n"), F.min("need").alias("need")).where("n >= need").select("doc_id", "tag")
+        posts = C.stored(open_.drop("least").join(enough, ["doc_id", "tag"]), "posts")
+    least = posts.groupBy("sig").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("sig", "least")
+    return posts.join(least, "sig").select("sig", F.col("doc_id").alias("node"), "least").distinct()
+
+
 def divide_skip(query: np.ndarray, sets: list[np.ndarray], need: np.ndarray, mu: float = 0.02) -> np.ndarray:
     """Overlap of each set with the query where it reaches ``need`` (else -1), by T-occurrence search.
 
@@ -208,24 +297,25 @@ def divide_skip(query: np.ndarray, sets: list[np.ndarray], need: np.ndarray, mu:
 
 
 def verify(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (node, root) edges whose sets link; ``sets`` holds (node, tokens) of all nodes."""
-    pieces = edges.groupBy("root").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("pieces"))
+    """The (node, root) edges whose sets link; ``sets`` holds (node, tokens) of all nodes, ``w`` of an edge its node's set size."""
+    pieces = edges.groupBy("root").agg(F.ceil((F.sum("w") + 1) / PIECE_SHINGLES).cast("int").alias("pieces"))
     salted = edges.join(pieces, "root").select("node", "root", F.pmod(F.xxhash64("node", "root"), F.col("pieces")).alias("salt"))
-    members = salted.join(sets, "node").select("root", "salt", "node", "tokens")
-    queries = salted.select("root", "salt").distinct().join(sets.withColumnRenamed("node", "root"), "root").select("root", "salt", F.lit(None).cast("long").alias("node"), "tokens")
+    members = salted.join(sets, "node").select("root", "salt", "node", F.lit(False).alias("query"), "tokens")
+    queries = salted.select("root", "salt").distinct().join(sets.withColumnRenamed("node", "root"), "root").select("root", "salt", F.col("root").alias("node"), F.lit(True).alias("query"), "tokens")
 
     def search(pdf):
         import pandas as pd
 
-        mine = pdf["node"].isna().to_numpy()
+        mine = pdf["query"].to_numpy(bool)
         sets_ = [np.frombuffer(x, "<u8") for x in pdf["tokens"]]
         rest = [s for s, q in zip(sets_, mine) if not q]
-        nodes = pdf["node"][~mine].astype("int64").to_numpy()
+        nodes = pdf["node"].to_numpy()[~mine]
         size = np.array([len(s) for s in rest], np.int64)
         linked = np.zeros(len(rest), bool)
         for q in (s for s, m in zip(sets_, mine) if m):
             need = -(-percent * (size + len(q)) // (100 + percent))
             linked |= divide_skip(q, rest, need) >= 0
+        C.release()
         return pd.DataFrame({"node": nodes[linked], "root": np.full(linked.sum(), pdf["root"].iloc[0])}).drop_duplicates()
 
     return members.unionByName(queries).groupBy("root", "salt").applyInPandas(search, "node long, root long")
@@ -300,44 +390,26 @@ def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         nodes = pdf["node"].to_numpy()
         side = (pdf["part"] == pdf["chunk2"]).to_numpy(np.int64) if (pdf["chunk"] != pdf["chunk2"]).any() else np.zeros(len(pdf), np.int64)
         links = search_block([np.frombuffer(x, "<u8") for x in pdf["tokens"]], pdf["label"].to_numpy(), side, percent)
+        C.release()
         return pd.DataFrame({"node": [nodes[max(a, b, key=lambda i: nodes[i])] for a, b in links],
                              "root": [nodes[min(a, b, key=lambda i: nodes[i])] for a, b in links]}, dtype="int64")
 
     return rows.groupBy("block", "chunk", "chunk2").applyInPandas(search, "node long, root long")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, label): the smallest node that edges (node, root) lead to, for every node with an edge."""
-
-    def star(e: DataFrame, large: bool) -> DataFrame:
-        # large: every node's larger neighbours point to its smallest neighbour; small: its smaller ones do
-        both = e.unionByName(e.select(F.col("root").alias("node"), F.col("node").alias("root"))) if large else e
-        least = both.groupBy("node").agg(F.min("root").alias("least")).withColumn("least", F.least("node", "least"))
-        joined = both.join(least, "node")
-        moved = joined.where(F.col("root") > F.col("node")).select(F.col("root").alias("node"), F.col("least").alias("root")) if large \
-            else joined.where(F.col("root") != F.col("least")).select(F.col("root").alias("node"), F.col("least").alias("root")).unionByName(
-                least.where(F.col("least") < F.col("node")).select("node", F.col("least").alias("root")))
-        return moved.where("node != root").distinct()
-
-    now = C.stored(edges.select(F.greatest("node", "root").alias("node"), F.least("node", "root").alias("root")).where("node != root").distinct(), "edges")
-    state = None
-    while True:
-        new = now.agg(F.count("*"), F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))).first()
-        if new == state or not new[0]:
-            return now.select("node", F.col("root").alias("label"))
-        state = new
-        now = C.stored(star(star(now, True), False), "edges")
-
-
 def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id of every row."""
-    rows = C.stored(sketches(docs, width, percent), "sketches")
+    rows = C.stored(sketches(docs, width), "sketches")
     real = rows.where("n_shingles > 0 and doc_id is not null")
     classes = C.stored(real.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "classes")
-    # signatures of class representatives only
-    posts = real.join(classes, ["k1", "k2"]).where("doc_id = rep").select("doc_id", F.explode("sigs").alias("sig"))
-    shared = posts.groupBy("sig").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    open_ = C.stored(posts.join(shared.select("sig", "least"), "sig").select("sig", F.col("doc_id").alias("node"), "least").distinct(), "groups")
+    # signatures of class representatives only, and only those that another document may have
+    reps = C.stored(real.join(classes, ["k1", "k2"]).where("doc_id = rep").select("doc_id", "text_key", "n_shingles"), "reps")
+    mine = C.by_row(docs.select("doc_id", "text"), reps.drop("n_shingles"), "left_semi")
+    shingles = reps.agg(F.sum("n_shingles")).first()[0] or 0
+    shift = min(20, BITS - 3, max(1, math.ceil(math.log2(max(1, shingles / MASS)))))
+    marks = shared_bits(signature_slices(mine, width, percent, shift), shift)
+    posts = C.stored(postings(mine, marks, width, percent), "posts")
+    open_ = C.stored(shared_groups(posts), "groups")
     nodes = open_.select("node").distinct()
     many = nodes.count()
     ids = (F.broadcast(nodes) if many <= BROADCAST_IDS else nodes).withColumnRenamed("node", "doc_id")
@@ -351,7 +423,8 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     # documents whose rows are in several classes
     twice = real.join(classes, ["k1", "k2"]).groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.collect_set("rep").alias("r")).where("a < b")
     links = C.stored(twice.select(F.explode("r").alias("node"), F.col("a").alias("root")).where("node != root"), "links")
-    nearest = C.stored(open_.where("least < node").groupBy("node").agg(F.min("least").alias("root")), "nearest")
+    sizes = reps.groupBy(F.col("doc_id").alias("node")).agg(F.max("n_shingles").alias("w"))
+    nearest = C.stored(open_.where("least < node").groupBy("node").agg(F.min("least").alias("root")).join(sizes, "node"), "nearest")
     links = links.unionByName(C.stored(verify(nearest, sets, percent), "links"))
     labels = components(links)
     # signature groups that hold several components still
