@@ -2,8 +2,7 @@
 
 Training counts words and character n-grams per language over a bounded sample of
 labelled rows (``PER_LANGUAGE`` rows of each language with the smallest id hash, a
-documented parameter) as a grouped aggregate; the ``WORDS`` most frequent words and
-``GRAMS`` n-grams of each length and language form the model. A known word scores by its
+documented parameter) as a grouped aggregate; all of them form the model. A known word scores by its
 smoothed log frequency in each language. An unseen word takes the mean log frequency of
 its longest n-grams of which any is known (4, 3, 2, then 1 characters of ``_word_``).
 A text's language is the one with the largest sum over all its words; ``score`` is the
@@ -21,12 +20,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
 
-PER_LANGUAGE, WORDS, GRAMS, LONGEST, SHARPNESS, MEMO = 5000, 20_000, 8_000, 4, 20, 300_000
+PER_LANGUAGE, LONGEST, SHARPNESS, MEMO = 5000, 4, 20, 300_000
 LETTERS = C.byte_table("a-z")
 LETTERS[128:] = True
 
@@ -123,16 +122,13 @@ class Model:
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Model from rows outside fold 1 of 3; a bounded sample per language, counted as a Spark aggregate."""
-    near = Window.partitionBy("lang").orderBy("h", "doc_id")
-    rows = docs.select("doc_id", "lang").where((C.fold(3) != 1) & F.col("lang").isNotNull())
-    pick = (rows.withColumn("h", F.xxhash64("doc_id")).withColumn("r", F.row_number().over(near))
-            .where(F.col("r") <= per_language).select("doc_id", "lang").distinct())
+    rows = docs.select("doc_id", "lang").where((C.fold(3) != 1) & F.col("lang").isNotNull()).distinct()
+    pick = C.stored(C.smallest(rows, "lang", "doc_id", per_language), "language-sample")
     text = docs.where((C.fold(3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
     counted = (text.join(F.broadcast(pick), ["doc_id", "lang"], "left_semi").select("lang", "text")  # at most per_language ids a language
                .mapInArrow(_counts, "lang string, size int, gram string, n long").groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")))
-    top = Window.partitionBy("lang", "size").orderBy(F.desc("n"), "gram")
-    kept = counted.withColumn("r", F.row_number().over(top)).where(F.col("r") <= F.when(F.col("size") == 0, WORDS).otherwise(GRAMS)).where(F.col("r") <= WORDS)
-    return Model([(r["lang"], r["size"], r["gram"], r["n"]) for r in kept.select("lang", "size", "gram", "n").collect()])
+    t = counted.toArrow()  # what the bounded sample holds, each word and n-gram once a language
+    return Model(sorted(zip(*(t[c].to_pylist() for c in ("lang", "size", "gram", "n")))))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

@@ -21,7 +21,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -130,8 +130,7 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], weight: dict[int, floa
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Classifier:
     marks = labels.where("quality in (0, 1)").where(C.fold(5) != 0).select("doc_id", F.col("quality").cast("int").alias("quality"))
     count = {r["quality"]: r["count"] for r in marks.groupBy("quality").count().collect()}
-    pick = (marks.withColumn("r", F.row_number().over(Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")))
-            .where(F.col("r") <= per_class).select("doc_id", "quality"))
+    pick = C.stored(C.smallest(marks.distinct(), "quality", "doc_id", per_class), "quality-sample")
     rows = docs.select("doc_id", "text").join(F.broadcast(pick), "doc_id")  # at most 2 * per_class rows
     got = [(r["quality"], np.frombuffer(r["ids"], "<i4"), np.frombuffer(r["shares"], "<f4"))
            for r in rows.select("text", "quality").mapInArrow(_features, "quality int, ids binary, shares binary").collect()]
