@@ -195,7 +195,6 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = S
             j = max(i + 1, int(np.searchsorted(off, off[i] + limit, "right")) - 1)
             yield b.slice(i, j - i)
             i = j
-        release()
 
 
 def release() -> None:

@@ -61,6 +61,12 @@ def _mix(x: np.ndarray, seed: int) -> np.ndarray:
         return z ^ (z >> np.uint64(31))
 
 
+def sliced(batches):
+    """Slices of the batches; at the end of a task freed memory goes back, for a worker lives on."""
+    yield from C.slices(batches)
+    C.release()
+
+
 def word_hash(words: C.Texts) -> np.ndarray:
     """64-bit hash of each (non-empty) word: two byte polynomials, mixed."""
     if not len(words):
@@ -168,7 +174,7 @@ def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, text_key, n_shingles and a 128-bit key of the set."""
 
     def task(batches):
-        for b in C.slices(batches):
+        for b in sliced(batches):
             sets = shingle_sets(C.column(b, "text"), width)
             keys = [[int(x) for x in (_mix(s, 21).sum(dtype=np.uint64), _mix(s, 22).sum(dtype=np.uint64))] for s in sets]
             k = np.array(keys, np.uint64).reshape(-1, 2).view(np.int64)
@@ -185,7 +191,7 @@ def signature_slices(docs: DataFrame, width: int, percent: int, shift: int) -> D
 
     def task(batches):
         router = Router(percent)
-        for b in C.slices(batches):
+        for b in sliced(batches):
             # rows of one document count once
             own: dict[int, list[np.ndarray]] = {}
             for i, s in zip(C.column(b, "doc_id").to_pylist(), shingle_sets(C.column(b, "text"), width)):
@@ -226,7 +232,7 @@ def postings(docs: DataFrame, marks: bytes, width: int, percent: int, bits: int
 
     def task(batches):
         router, on = Router(percent), np.frombuffer(shared.value, np.uint8)
-        for b in C.slices(batches):
+        for b in sliced(batches):
             found = []
             for s in shingle_sets(C.column(b, "text"), width):
                 sig, tag, need = router.entries(s)
@@ -415,7 +421,7 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     ids = (F.broadcast(nodes) if many <= BROADCAST_IDS else nodes).withColumnRenamed("node", "doc_id")
 
     def tokens(batches):
-        for b in C.slices(batches):
+        for b in sliced(batches):
             yield pa.RecordBatch.from_arrays([C.column(b, "doc_id").cast(pa.int64()), pa.array([s.astype("<u8").tobytes() for s in shingle_sets(C.column(b, "text"), width)], pa.binary())],
                                              names=["node", "tokens"])
 
