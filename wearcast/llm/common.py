@@ -23,7 +23,7 @@ from ..session import ensure_checkpoint_dir, ship_package
 
 SLICE_BYTES = 4 << 20
 #: Texts that the pipeline hands to Python at once.
-BATCH_ROWS = 2000
+BATCH_ROWS = 400
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
