@@ -19,8 +19,11 @@ SPLIT = "2024-01-16 00:00:00"
 FEATS = ["sensor_1", "sensor_2", "sensor_3"]
 
 
-def _split(spark: SparkSession, sf: str, shifted: bool = False, nulls: bool = False):
+def _split(spark: SparkSession, sf: str, shifted: bool = False, nulls: bool = False, stored: bool = False):
+    """Telemetry before and after ``SPLIT``; ``stored`` numbers the cycles once and keeps the rows in the shared folder."""
     tel = events_telemetry(spark, sf, keep=("ts", "event_id"))
+    if stored:
+        tel = D.materialise(tel, "drift-telemetry")
     ref = tel.where(F.col("ts") < F.lit(SPLIT).cast("timestamp_ntz"))
     cur = tel.where(F.col("ts") >= F.lit(SPLIT).cast("timestamp_ntz"))
     if shifted:

@@ -27,8 +27,12 @@ j AS (SELECT p.engine_id, p.predicted_rul AS p, t.true_rul AS t, p.predicted_rul
 
 def _inputs(spark, sf):
     tel = lineitem_telemetry(spark, sf)
+    return baseline_predictions(tel, truncate_lives(tel))
+
+
+def baseline_predictions(tel, test):
+    """Predictions of the constant baseline and the truth, of the whole lives ``tel`` and their cut view ``test``."""
     life = tel.groupBy("unit_id").agg(F.max("time_cycles").alias("life"))
-    test = truncate_lives(tel)
     truth = true_rul(test).withColumnRenamed("unit_id", "engine_id")
     avg_life = life.agg(F.avg("life").alias("al"))
     pred = (test.groupBy("unit_id").agg(F.max("time_cycles").alias("c"))

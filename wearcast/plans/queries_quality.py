@@ -20,7 +20,7 @@ from ..sources.telemetry import lineitem_telemetry, truncate_lives
 from .oracle_sql import TEL_LINEITEM
 from .queries_drift import FEATS
 from .queries_drift import _split as split_events
-from .queries_eval import _inputs as baseline_predictions
+from .queries_eval import baseline_predictions
 from .registry import query, sql_of
 
 _COLS = ["unit_id", "time_cycles", "sensor_1", "sensor_2", "sensor_3", "sensor_4"]
@@ -109,18 +109,18 @@ SELECT metric, labels, round(value, 6) AS value FROM rows_"""
 def q_metric_rows(spark, sf):
     """K8: the deterministic metric rows of ingestion, transformation, drift and prediction (PSI values: ``drift_psi``)."""
     m = MetricsTable(spark, shared_path(spark, f"metrics-{uuid.uuid4().hex}"))
-    tel = lineitem_telemetry(spark, sf)
-    tables = {"train": tel.withColumn("rul", F.lit(None).cast("double")), "test": truncate_lives(tel)}
-    train, counts = R.observed_write(tables["train"], shared_path(spark, f"train-{uuid.uuid4().hex}"))
-    _, test_counts = R.observed_write(tables["test"], shared_path(spark, f"test-{uuid.uuid4().hex}"))
+    # cycles are numbered once a table; the stages behind read the stored rows
+    train, counts = R.observed_write(lineitem_telemetry(spark, sf).withColumn("rul", F.lit(None).cast("double")), shared_path(spark, f"train-{uuid.uuid4().hex}"))
+    tel = train.drop("rul")
+    test, test_counts = R.observed_write(truncate_lives(tel), shared_path(spark, f"test-{uuid.uuid4().hex}"))
     m.record_rows("data_ingestion", R.ingestion({k: v for k, v in counts.items() if k != "rul"}, "train") + R.ingestion(test_counts, "test"))
     after, kept = R.observed_write(S.preprocessor().fit(train).transform(train), shared_path(spark, f"after-{uuid.uuid4().hex}"))
     m.record_rows("data_transformation", R.transformation(counts["rows"], kept["rows"], train.columns, after.columns, META_DROP))
-    ref, cur = split_events(spark, sf, nulls=True)
+    ref, cur = split_events(spark, sf, nulls=True, stored=True)
     parts = D.detect_drift(D.reference_profile(ref, FEATS), D.fleet_shape(ref), None, cur, ref_counts=D.value_counts(ref, FEATS))
     found = R.drift(parts["summary"].first().asDict(), parts["detail"])
     m.record_rows("drift_detection", [r for r in found if r[0] != "psi_score"])
-    pred, truth = baseline_predictions(spark, sf)
+    pred, truth = baseline_predictions(tel, test)
     m.record_rows("model_prediction", R.prediction(pred, None, E.evaluation_metrics(pred, truth).first().asDict()))
     labels = F.array_join(F.transform(F.array_sort(F.map_entries("labels")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
     return m.read().select("metric", labels.alias("labels"), F.round("value", 6).alias("value"))
