@@ -68,27 +68,36 @@ def fresh(k: int) -> tuple:
 def advance(state: tuple, batch: pd.DataFrame, sensors: list[str], n_first: int = BASELINE_CYCLES,
             short: int = SHORT_WINDOW, long: int = LONG_WINDOW) -> tuple[tuple, pd.DataFrame]:
     """The unit's next state, and a row per new full window: cycle, means, late rows so far."""
+    state, cycle, means = step(state, *readings(batch, sensors), n_first, short, long)
+    return state, pd.DataFrame({CYCLE: cycle, **dict(zip(output_columns(sensors)[2:-1], means.T)), "late_rows": np.int64(state[1])})
+
+
+def readings(batch: pd.DataFrame, sensors: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Cycles and (rows, sensors) values of a batch."""
+    return batch[CYCLE].to_numpy(), np.stack([batch[s].to_numpy(float, na_value=np.nan) for s in sensors], axis=1)
+
+
+def step(state: tuple, cycle: np.ndarray, values: np.ndarray, n_first: int, short: int, long: int) -> tuple[tuple, np.ndarray, np.ndarray]:
+    """The unit's next state, and the cycles and (short, long) means of its new full windows: one call a unit and batch, on arrays."""
     last, late, frozen, base_sum, base_n, recent = state
-    batch = batch.sort_values(CYCLE, kind="mergesort")
-    new = batch[batch[CYCLE] > last].drop_duplicates(CYCLE)
-    late += len(batch) - len(new)
-    cycle = new[CYCLE].to_numpy(np.int64)
-    values = new[sensors].to_numpy(float, na_value=np.nan)
+    order = np.argsort(cycle, kind="stable")
+    cycle = cycle[order]
+    new = cycle > last
+    new[1:] &= cycle[1:] != cycle[:-1]
+    late += len(cycle) - int(new.sum())
+    cycle, values = cycle[new].astype(np.int64), values[order[new]]
     early = cycle <= n_first if not frozen else np.zeros(len(cycle), bool)
     ok = ~np.isnan(values[early])
     base_sum, base_n = base_sum + np.where(ok, values[early], 0.0).sum(0), base_n + ok.sum(0)
     with np.errstate(invalid="ignore", divide="ignore"):
         rows = values[~early] - np.where(base_n > 0, base_sum / base_n, np.nan)
     frozen = frozen or bool((~early).any())
-    series = np.vstack([recent, rows])
+    series = np.concatenate([recent, rows])
     if len(cycle):
         last = int(cycle[-1])
     full = min(len(rows), max(0, len(series) - long + 1))
-    means = np.hstack([window_means(series, w)[-full:] if full else np.zeros((0, len(sensors))) for w in (short, long)])
-    out = pd.DataFrame(means, columns=output_columns(sensors)[2:-1])
-    out.insert(0, CYCLE, cycle[~early][-full:] if full else np.zeros(0, np.int64))
-    out["late_rows"] = np.int64(late)
-    return (last, int(late), frozen, base_sum, base_n, series[max(0, len(series) - (long - 1)):]), out
+    means = np.hstack([window_means(series, w)[-full:] for w in (short, long)]) if full else np.zeros((0, 2 * values.shape[1]))
+    return (last, int(late), frozen, base_sum, base_n, series[max(0, len(series) - (long - 1)):]), cycle[~early][-full:] if full else np.zeros(0, np.int64), means
 
 
 class UnitProcessor(StatefulProcessor):
@@ -103,17 +112,20 @@ class UnitProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         state = fresh(len(self.sensors))
-        if self.life.exists():
-            last, late, frozen, base_sum, base_n = self.life.get()
-            kept = [[np.nan if v is None else v for v in r[0]] for r in self.recent.get()]
+        known = self.life.get()   # None for a new unit
+        if known is not None:
+            last, late, frozen, base_sum, base_n = known
+            kept = [r[0] for r in self.recent.get()]   # None becomes NaN
             state = (last, late, frozen, np.array(base_sum, float), np.array(base_n, np.int64), np.array(kept, float).reshape(-1, len(self.sensors)))
-        batch = pd.concat(list(rows), ignore_index=True)
-        (last, late, frozen, base_sum, base_n, recent), out = advance(state, batch, self.sensors, *self.sizes)
+        parts = [readings(b, self.sensors) for b in rows]
+        cycle, values = parts[0] if len(parts) == 1 else (np.concatenate(x) for x in zip(*parts))
+        (last, late, frozen, base_sum, base_n, recent), cycle, means = step(state, cycle, values, *self.sizes)
         self.life.update((last, late, frozen, base_sum.tolist(), base_n.tolist()))
-        self.recent.put([([None if np.isnan(v) else float(v) for v in r],) for r in recent])
-        if len(out):
-            out.insert(0, UNIT, key[0])
-            yield out
+        whole = not np.isnan(recent).any()
+        self.recent.put([(r,) if whole else ([None if v != v else v for v in r],) for r in recent.tolist()])
+        if len(cycle):
+            names = output_columns(self.sensors)
+            yield pd.DataFrame({UNIT: key[0], CYCLE: cycle, **dict(zip(names[2:-1], means.T)), "late_rows": np.int64(late)}, columns=names)
 
     def close(self) -> None:
         pass
