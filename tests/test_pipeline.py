@@ -96,3 +96,14 @@ def test_broken_lines_are_quarantined(spark, tmpdir_path):
     good, bad = read_quarantined(spark, tmpdir_path + "/up", tmpdir_path + "/bad", telemetry_schema(["unit_id", "time_cycles", "sensor_1"]))
     assert sorted(map(tuple, good.collect()), key=str) == [(1, 1, 0.5), (2, 1, None)]
     assert bad == 4 and {r["line"] for r in spark.read.parquet(tmpdir_path + "/bad/quarantine").collect()} == {"1,2", "1,3,x", "1,4,0.5,9", "not a line"}
+
+
+def test_pointer_is_read_between_file_and_checksum(spark, tmpdir_path):
+    """The pointer of one version with the checksum of another, as a reader may find it during a rename."""
+    from wearcast.ml.score import current_version, point_to
+    a, b = tmpdir_path + "/a", tmpdir_path + "/b"
+    point_to(spark, a, "first")
+    point_to(spark, b, "other")
+    with open(b + "/.current.crc", "rb") as src, open(a + "/.current.crc", "wb") as dst:
+        dst.write(src.read())
+    assert current_version(spark, a) == "first" and current_version(spark, tmpdir_path + "/none") is None
