@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from wearcast.llm import common as C
-from wearcast.llm import decontamination, jaccard_join, url_filters, warc
+from wearcast.llm import decontamination, graph, jaccard_join, url_filters, warc
 
 from .conftest import CLASH, DOCS, awkward, prose, rows_of
 
@@ -100,6 +100,18 @@ def test_components_of_a_long_chain(spark):
     assert jaccard_join.components(edges.limit(0)).count() == 0
 
 
+def test_components_of_stars_need_no_round(spark, monkeypatch):
+    names, stored = [], graph.C.stored
+    monkeypatch.setattr(graph.C, "stored", lambda df, name: names.append(name) or stored(df, name))
+    stars = spark.createDataFrame([(i, i % 3) for i in range(3, 40)] + [(1, 1), (4, 1)], "node long, root long")
+    assert dict(rows_of(graph.components(stars), "node", "label")) == {i: i % 3 for i in range(3, 40)}
+    assert names == ["edges"]
+    names.clear()
+    forked = spark.createDataFrame([(5, 1), (5, 2), (7, 5)], "node long, root long")
+    assert dict(rows_of(graph.components(forked), "node", "label")) == {2: 1, 5: 1, 7: 1}
+    assert names == ["edges", "star", "edges"]
+
+
 def words4(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
 

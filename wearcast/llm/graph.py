@@ -54,17 +54,18 @@ def _star(e: DataFrame, cut: int, large: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node that edges (node, root) lead to, for every node with an edge.
 
-    Alternating large-star and small-star steps until nothing changes; each round is stored,
-    and while nodes have very many edges, those meet their neighbours by a broadcast, not in one task.
+    Alternating large-star and small-star steps until every node has one root and no root has
+    one; each round is stored and looked at by one job, and while nodes have very many edges,
+    those meet their neighbours by a broadcast, not in one task.
     """
     now = C.stored(edges.select(F.greatest("node", "root").alias("node"), F.least("node", "root").alias("root"))
                    .where("node != root").distinct(), "edges")
-    state = None
     while True:
-        new = now.agg(F.count("*"), F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))).first()
-        if new == state or not new[0]:
+        ends = now.select(F.explode(F.array(F.struct("node", F.lit(1).alias("up")), F.struct(F.col("root").alias("node"), F.lit(0).alias("up")))).alias("end"))
+        degree = ends.groupBy("end.node").agg(F.count(F.lit(1)).alias("many"), F.sum("end.up").alias("roots"))
+        many, total, forked = degree.agg(F.max("many"), F.sum("roots"), F.max(F.col("roots").between(1, F.col("many") - 1) | (F.col("roots") > 1))).first()
+        if not forked:
             return now.select("node", F.col("root").alias("label"))
-        state, cut = new, max(new[0] // HOT, HOT)
-        ends = now.select(F.explode(F.array("node", "root")).alias("node")).groupBy("node").count()
-        cut = cut if (ends.agg(F.max("count")).first()[0] or 0) > cut else 0
+        cut = max(total // HOT, HOT)
+        cut = cut if many > cut else 0
         now = C.stored(_star(C.stored(_star(now, cut, True), "star"), cut, False), "edges")
