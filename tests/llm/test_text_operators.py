@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -78,6 +79,23 @@ def test_ids_equal_plain_encode():
             assert ids[off[i]:off[i + 1]].tolist() == enc.tok.encode(t or "", add_special_tokens=False).ids, repr(t)
 
 
+def test_memo_is_read_in_place_and_forgotten():
+    enc = tokens.Encoder()
+    text = pa.array(["word1 word2  word3 naïve"])
+    first = enc.encode(text)[0].tolist()
+    for k in range(0, 60_000, 20_000):
+        enc.encode(pa.array([" ".join(f"x{i}y" for i in range(k, k + 20_000))]))
+    tracemalloc.start()
+    again = enc.encode(text)[0].tolist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert first == again == enc.whole(text[0].as_py()).tolist()
+    assert peak < 200_000  # what is remembered is not copied for every slice
+    enc.forget()
+    assert not len(enc.keys) and not len(enc.flat) and not enc.pieces
+    assert enc.encode(text)[0].tolist() == first
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_solution_holds_every_piece_and_is_near_the_bound(seed):
     rng = np.random.default_rng(seed)

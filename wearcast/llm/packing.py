@@ -37,6 +37,8 @@ from . import tokens as T
 SIZE, END_ID, GROUPS, SMALL = 1024, 2, 1023, 0.25
 #: Rows of one (length, salt) cell when a third of all pieces have one length.
 CELL_ROWS = 50_000
+#: Slices of texts after which a worker gives freed memory back.
+RELEASE = 16
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
@@ -46,7 +48,9 @@ def pieces(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, vocabulary:
 
     def cut(batches):
         enc = T.encoder(vocabulary)
-        for b in C.slices(batches):
+        for turn, b in enumerate(C.slices(batches)):
+            if turn % RELEASE == RELEASE - 1:
+                C.release()
             flat, off = enc.encode(C.column(b, "text"))
             n = np.diff(off) + 1
             data = np.insert(flat, off[1:], end_id).astype("<u4").tobytes()
@@ -62,6 +66,7 @@ def pieces(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, vocabulary:
             yield pa.RecordBatch.from_arrays(
                 [C.column(b, "doc_id").cast(pa.int64()).take(pa.array(row)), pa.array(k.astype(np.int32)), pa.array(start), pa.array(length), ids],
                 names=["doc_id", "piece", "start", "length", "ids"])
+        C.release()
 
     return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
 
@@ -228,6 +233,7 @@ def pack(parts: DataFrame, carry: dict[str, Column] | None = None, size: int = S
     keep = list(cols)
 
     def find(batches):
+        T.forget()  # the worker may have cut pieces before
         for b in batches:
             n, rank = C.column(b, "_n").to_numpy(), C.column(b, "_rank").to_numpy()
             seq, off = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)

@@ -27,7 +27,7 @@ ODD_SPACE = re.compile(r"\s \s| \s* |\s $|^ $")
 #: Bytes before and after a space that may belong to white space (ASCII, and lead bytes of wider spaces).
 ASCII_WS = C.byte_table("\t-\r \x1c-\x1f")
 WIDE_LEAD = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
-MEMO_ENTRIES, PIECE_ENTRIES = 3_000_000, 200_000
+MEMO_ENTRIES, PIECE_ENTRIES = 1_000_000, 100_000
 #: ASCII marks that form one pre-token behind a word.
 MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
@@ -58,6 +58,14 @@ def chunk_hash(words: C.Texts, led: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return out[0], out[1].astype(np.uint32)
 
 
+def _append(kept: np.ndarray, used: int, new: np.ndarray) -> np.ndarray:
+    """``new`` behind the first ``used`` values; a full array is replaced by one with a quarter more room."""
+    if used + len(new) > len(kept):
+        kept = np.concatenate([kept[:used], np.zeros(len(new) + (used + len(new)) // 4, kept.dtype)])
+    kept[used:used + len(new)] = new
+    return kept
+
+
 class Mapped(dict):
     """Character to its byte-mapped form, asked from the pre-tokenizer once per character."""
 
@@ -89,7 +97,8 @@ class Encoder:
     def _clear(self) -> None:
         # chunks by 64-bit hash (sorted) with a 32-bit check of another hash: 25 bytes a chunk instead of 200 for a dict
         self.keys, self.check, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int32)
-        self.flat, self.first = array("H" if self.small else "I"), array("q", [0])
+        # ids of all chunks and the first of each, read in place: both have room behind, ``slots`` are in use
+        self.flat, self.first, self.slots = np.zeros(0, np.uint16 if self.small else np.uint32), np.zeros(1, np.int64), 0
 
     def _piece(self, piece: str) -> list[int]:
         """Ids of one byte-mapped pre-token."""
@@ -100,19 +109,23 @@ class Encoder:
             ids = self.pieces[piece] = [t.id for t in self.model.tokenize(piece)]
         return ids
 
-    def _learn(self, chunk: str) -> None:
+    def forget(self) -> None:
+        """Drop what is remembered of earlier texts: a worker lives on between tasks."""
+        self._clear()
+        self.pieces.clear()
+
+    def _learn(self, chunk: str, out: array) -> None:
         """Ids of a new chunk: a plain word with ASCII marks behind it is cut here, all else by the pre-tokenizer."""
         lead = chunk[0] == " "
         core = chunk[lead:].rstrip(MARKS)
         if core.isalpha():
-            self.flat.extend(self._piece(("\u0120" if lead else "") + (core if core.isascii() else core.translate(self.mapped))))
+            out.extend(self._piece(("\u0120" if lead else "") + (core if core.isascii() else core.translate(self.mapped))))
             tail = chunk[lead + len(core):]
             if tail:
-                self.flat.extend(self._piece(tail))
+                out.extend(self._piece(tail))
         else:
             for p, _ in self.pre.pre_tokenize_str(chunk):
-                self.flat.extend(self._piece(p))
-        self.first.append(len(self.flat))
+                out.extend(self._piece(p))
 
     def _slots(self, words: pa.Array, led: np.ndarray) -> np.ndarray:
         """Slot of each distinct chunk (word, and whether a space leads it); new ones are learnt."""
@@ -126,9 +139,15 @@ class Encoder:
         out[known] = self.slot[inside[known]]
         new = np.flatnonzero(~known)
         if len(new):
-            slot = len(self.first) - 1 + np.arange(len(new))
+            slot = self.slots + np.arange(len(new))
+            ids, ends = array("H" if self.small else "I"), array("q")
             for w, space in zip(words.take(pa.array(new)).to_pylist(), led[new].tolist()):
-                self._learn(" " + w if space else w)
+                self._learn(" " + w if space else w, ids)
+                ends.append(len(ids))
+            used = int(self.first[self.slots])
+            self.flat = _append(self.flat, used, np.array(ids, self.flat.dtype))
+            self.first = _append(self.first, self.slots + 1, np.array(ends, np.int64) + used)
+            self.slots += len(new)
             out[new] = slot
             order = np.argsort(key[new])
             new, slot = new[order], slot[order]
@@ -174,7 +193,7 @@ class Encoder:
         key = code[use] * 2 + (runs.start[use] > texts.off[:-1][row])
         inverse, kinds = pd.factorize(key)
         at = self._slots(pa.concat_arrays([distinct.take(pa.array(kinds // 2)), pa.array([""])]), np.append(kinds % 2, 1).astype(bool))
-        flat, first = np.array(self.flat, np.uint32), np.array(self.first, np.int64)
+        flat, first = self.flat, self.first
         begin, size = first[at], first[at + 1] - first[at]
         tail = np.zeros(len(texts), bool)  # a last space is a pre-token of its own
         full = np.flatnonzero(texts.off[1:] > texts.off[:-1])
@@ -208,3 +227,10 @@ def encoder(path: str | None = None) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
+
+
+def forget() -> None:
+    """Free what this worker's encoders remember, if it has any."""
+    for enc in _ENCODERS.values():
+        enc.forget()
+    C.release()
