@@ -48,7 +48,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = fresh_dir(df.sparkSession, name)
     # without the marker file: on a local file system the driver starts a process (chmod) for every file it makes
     df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def drop(table: DataFrame) -> None:
+    """Remove the files of a ``stored`` table that nothing reads any more, and the shuffle files of the jobs before it.
+
+    Shuffle files go when the driver has collected the plan they belong to, which on its own it may not do for a whole stage.
+    """
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    spark._jvm.System.gc()
 
 
 def text_key(col: str = "text") -> Column:

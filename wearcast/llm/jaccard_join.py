@@ -8,9 +8,11 @@ components they form.
   (and, near the border of a size class, of the parts it has in the joint class). Parts are
   several shingles wide, so a frequent shingle or passage alone routes nothing. Signatures are
   first packed per slice of documents and hash partition; those that stand in one place only are
-  dropped by a bitmap of fixed size before rows of them are dealt (a full bitmap drops none).
+  dropped by a bitmap before rows of them are dealt. It has eight bits for each shared signature,
+  so that it stays as sparse when the table grows (up to ``MOST_BITS``; a full bitmap drops none).
   There are more parts than a linking pair can change, so partners share several of them, and
-  documents that share fewer (a common passage) are set aside by count.
+  documents that share fewer (a common passage, or chance bits) are set aside by count, first by
+  their bits and then by the signatures.
 * First round. Every document is searched against the smallest document that shares a part
   with it, which links most groups of near-copies to one component each.
 * Second round. Signature groups that still hold several components are joined to blocks
@@ -49,8 +51,8 @@ PIECE_SHINGLES, BROADCAST_IDS = 400_000, 1_000_000
 #: Shingles of one chunk of a block (8 bytes each); a task holds two chunks.
 CHUNK_SHINGLES = 800_000
 SKETCH = "doc_id long, text_key long, n_shingles long, k1 long, k2 long"
-#: Bitmap of shared signatures (2^26 bits are 8 MB), and signatures that a hash partition should hold.
-BITS, MASS = 26, 1 << 21
+#: Least and most bits of the bitmap of shared signatures (2^26 are 8 MB, 2^29 are 64 MB), and signatures that a hash partition should hold.
+BITS, MOST_BITS, MASS = 26, 29, 1 << 21
 
 
 def _mix(x: np.ndarray, seed: int) -> np.ndarray:
@@ -209,26 +211,42 @@ def signature_slices(docs: DataFrame, width: int, percent: int, shift: int) -> D
     return docs.select("doc_id", "text").mapInArrow(task, "part int, keys binary")
 
 
-def shared_bits(slices: DataFrame, shift: int, bits: int = BITS) -> bytes:
-    """Bitmap over the high ``bits`` bits of signatures: each one that two documents or more have has its bit set."""
+def shared_bits(slices: DataFrame, shift: int, least: int | None = None) -> bytes:
+    """Bitmap over the high bits of signatures: each one that two documents or more have has its bit set.
 
-    def fold(t: pa.Table) -> pa.Table:
+    The shared signatures are counted first and get eight bits each (2^``least`` bits at least, 2^``MOST_BITS`` at most).
+    """
+
+    def several(t: pa.Table) -> pa.Table:
         keys, many = np.unique(np.frombuffer(b"".join(t["keys"].to_pylist()), "<u4"), return_counts=True)
-        segment = np.zeros(1 << (bits - shift), bool)
-        segment[keys[many > 1] >> np.uint32(32 - (bits - shift))] = True
-        return pa.table({"part": t["part"].slice(0, 1), "bits": pa.array([np.packbits(segment, bitorder="little").tobytes()], pa.binary())})
+        keys = keys[many > 1]
+        return pa.table({"part": t["part"].slice(0, 1), "keys": pa.array([keys.tobytes()], pa.binary()), "many": pa.array([len(keys)], pa.int64())})
+
+    dealt = slices.repartition(max(2, min(1 << shift, 8192)), "part").groupBy("part")
+    found = C.stored(dealt.applyInArrow(several, "part int, keys binary, many long"), "shared-keys")
+    many = found.agg(F.sum("many")).first()[0] or 0
+    bits = max(BITS if least is None else least, shift + 3, min(MOST_BITS, math.ceil(math.log2(max(1, 8 * many)))))
+
+    def segments(batches):
+        for b in batches:
+            out = []
+            for keys in C.column(b, "keys"):
+                segment = np.zeros(1 << (bits - shift), bool)
+                segment[np.frombuffer(keys.as_buffer(), "<u4") >> np.uint32(32 - (bits - shift))] = True
+                out.append(np.packbits(segment, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([C.column(b, "part"), pa.array(out, pa.binary())], names=["part", "bits"])
 
-    found = slices.repartition(max(2, min(1 << shift, 8192)), "part").groupBy("part").applyInArrow(fold, "part int, bits binary")
     step = (1 << (bits - shift)) // 8
     out = bytearray(step << shift)
-    for row in found.collect():  # 2^bits bits in all, whatever the input
+    for row in found.select("part", "keys").mapInArrow(segments, "part int, bits binary").collect():  # 2^bits bits in all, at most 64 MB
         out[row["part"] * step:(row["part"] + 1) * step] = row["bits"]
+    C.drop(found)
     return bytes(out)
 
 
-def postings(docs: DataFrame, marks: bytes, width: int, percent: int, bits: int = BITS) -> DataFrame:
-    """(doc_id, sig, tag, need) of the documents' signatures whose bit is set."""
-    shared = docs.sparkSession.sparkContext.broadcast(marks)
+def postings(docs: DataFrame, marks: bytes, width: int, percent: int) -> DataFrame:
+    """(doc_id, sig, tag, need) of the documents' signatures whose bit is set, where they are as many of a tag as any partner shares."""
+    shared, bits = docs.sparkSession.sparkContext.broadcast(marks), (8 * len(marks)).bit_length() - 1
 
     def task(batches):
         router, on = Router(percent), np.frombuffer(shared.value, np.uint8)
@@ -238,6 +256,9 @@ def postings(docs: DataFrame, marks: bytes, width: int, percent: int, bits: int
                 sig, tag, need = router.entries(s)
                 bit = sig >> np.uint64(64 - bits)
                 set_ = (on[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                # every signature that a partner has too is set, so fewer than it shares are chance or a common passage
+                kind, at = np.unique(tag, return_inverse=True)
+                set_ &= (np.bincount(at[set_], minlength=len(kind))[at] >= need) if len(kind) else set_
                 found.append((sig[set_], tag[set_], need[set_]))
             owner = np.repeat(np.arange(len(found)), [len(x) for x, *_ in found])
             sig, tag, need = (np.concatenate(x) for x in zip(*found))
@@ -251,15 +272,19 @@ def shared_groups(posts: DataFrame) -> DataFrame:
     """(sig, node, least): signatures that several documents have, of documents that share as many of a tag as a partner asks for.
 
     A document that shares fewer (one passage, say) has no partner in that tag; what it leaves
-    behind is looked at once more.
+    behind is looked at once more. Stored, as ``posts`` must be, which is read up and dropped.
     """
     for _ in range(2):
         least = posts.groupBy("sig").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("sig", "least")
         open_ = C.stored(posts.join(least, "sig"), "shared")
+        C.drop(posts)
         enough = open_.groupBy("doc_id", "tag").agg(F.count_distinct("sig").alias("n"), F.min("need").alias("need")).where("n >= need").select("doc_id", "tag")
         posts = C.stored(open_.drop("least").join(enough, ["doc_id", "tag"]), "posts")
+        C.drop(open_)
     least = posts.groupBy("sig").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("sig", "least")
-    return posts.join(least, "sig").select("sig", F.col("doc_id").alias("node"), "least").distinct()
+    groups = C.stored(posts.join(least, "sig").select("sig", F.col("doc_id").alias("node"), "least").distinct(), "groups")
+    C.drop(posts)
+    return groups
 
 
 def divide_skip(query: np.ndarray, sets: list[np.ndarray], need: np.ndarray, mu: float = 0.02) -> np.ndarray:
@@ -414,8 +439,7 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     shingles = reps.agg(F.sum("n_shingles")).first()[0] or 0
     shift = min(20, BITS - 3, max(1, math.ceil(math.log2(max(1, shingles / MASS)))))
     marks = shared_bits(signature_slices(mine, width, percent, shift), shift)
-    posts = C.stored(postings(mine, marks, width, percent), "posts")
-    open_ = C.stored(shared_groups(posts), "groups")
+    open_ = shared_groups(C.stored(postings(mine, marks, width, percent), "posts"))
     nodes = open_.select("node").distinct()
     many = nodes.count()
     ids = (F.broadcast(nodes) if many <= BROADCAST_IDS else nodes).withColumnRenamed("node", "doc_id")
